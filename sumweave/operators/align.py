@@ -16,11 +16,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sumweave.functions.arrays import bind
 from sumweave.functions.alleles import (
     canonical_key, clean_allele, flip_effect, flip_frequency, is_acgt, is_reversed, spelling_code,
 )
 
 VARIANT = ["chr", "pos", "ref", "alt"]
+#: Key order for shuffles and sorts: sorts compare a prefix of the first column, so the position,
+#: which has many values, goes before the chromosome and the study.
+SORT_KEYS = ["pos", "chr", "ref", "alt"]
 
 
 def dedup_first(df: DataFrame, by: Sequence[str] = ("study_ord",), order: str = "file_order") -> DataFrame:
@@ -28,7 +32,7 @@ def dedup_first(df: DataFrame, by: Sequence[str] = ("study_ord",), order: str =
 
     A row_number = 1 filter is pruned on the map side, before the shuffle.
     """
-    w = Window.partitionBy(*by, *VARIANT).orderBy(order)
+    w = Window.partitionBy(*SORT_KEYS, *by).orderBy(order)
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
@@ -53,7 +57,7 @@ def align_groups(df: DataFrame, by: Sequence[str] = (), order: str = "file_order
     row = F.struct("study_ord", F.col(order).alias("_order"),
                    spelling_code(F.col("ref"), F.col("alt"), F.col("_key")).alias("_spelling"),
                    "ref", "alt", *payload)
-    grouped = keyed.groupBy(*by, "chr", "pos", "_key").agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    grouped = keyed.groupBy("pos", "chr", "_key", *by).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
     slots = grouped.select(*by, "chr", "pos", F.posexplode(_slots()).alias("occ", "_members"))
     return (slots.withColumn("_anchor", F.col("_members")[0])
             .select(*by, "chr", "pos", F.col("_anchor.ref").alias("ref"), F.col("_anchor.alt").alias("alt"),
@@ -86,34 +90,41 @@ def _slots() -> Column:
     rows = F.col("_rows")
     ords = F.col("_rows.study_ord")
     studies = F.array_distinct(ords)
-    codes = F.transform(rows, lambda r, i: F.struct(
-        i.alias("i"), r["study_ord"].alias("study"), r["_spelling"].alias("spelling")))
     no_ints = F.array().cast("array<int>")
     no_slots = F.array().cast("array<struct<i:int,occ:int>>")
 
     def take(state: Column, anchor: Column) -> Column:
         left = state["left"]
         exact = F.filter(left, lambda c: c["spelling"] == anchor)
-        pick = F.coalesce(F.get(exact, 0), F.get(left, 0))["i"]
-        return F.when(F.size(left) == 0, state).otherwise(F.struct(
+        first = F.coalesce(F.get(exact, 0), F.get(left, 0))["i"]
+        return F.when(F.size(left) == 0, state).otherwise(bind(first, lambda pick: F.struct(
             F.filter(left, lambda c: c["i"] != pick).alias("left"),
-            F.concat(state["picked"], F.array(pick)).alias("picked")))
+            F.concat(state["picked"], F.array(pick)).alias("picked"))))
 
-    def add_study(acc: Column, study: Column) -> Column:
+    def add_study(acc: Column, study: Column, codes: Column) -> Column:
         mine = F.filter(codes, lambda c: c["study"] == study)
         start = F.struct(mine.alias("left"), no_ints.alias("picked"))
-        state = F.aggregate(acc["anchors"], start, take)
-        picked = F.concat(state["picked"], F.transform(state["left"], lambda c: c["i"]))
-        return F.struct(
-            F.concat(acc["anchors"], F.transform(state["left"], lambda c: c["spelling"])).alias("anchors"),
-            F.concat(acc["out"], F.transform(
-                picked, lambda i, r: F.struct(i.alias("i"), r.alias("occ")))).alias("out"))
-
-    folded = F.aggregate(studies, F.struct(no_ints.alias("anchors"), no_slots.alias("out")), add_study,
-                         lambda acc: acc["out"])
-    rounds = F.sequence(F.lit(0), F.array_max(F.transform(folded, lambda o: o["occ"])))
-    split = F.transform(rounds, lambda r: F.transform(
-        F.filter(folded, lambda o: o["occ"] == r), lambda o: F.get(rows, o["i"])))
+
+        def extend(state: Column) -> Column:
+            picked = F.concat(state["picked"], F.transform(state["left"], lambda c: c["i"]))
+            return F.struct(
+                F.concat(acc["anchors"], F.transform(state["left"], lambda c: c["spelling"])).alias("anchors"),
+                F.concat(acc["out"], F.transform(
+                    picked, lambda i, r: F.struct(i.alias("i"), r.alias("occ")))).alias("out"))
+        return bind(F.aggregate(acc["anchors"], start, take), extend)
+
+    def fold(codes: Column) -> Column:
+        start = F.struct(no_ints.alias("anchors"), no_slots.alias("out"))
+        return F.aggregate(studies, start, lambda acc, study: add_study(acc, study, codes), lambda acc: acc["out"])
+
+    def by_round(folded: Column) -> Column:
+        rounds = F.sequence(F.lit(0), F.array_max(F.transform(folded, lambda o: o["occ"])))
+        return F.transform(rounds, lambda r: F.transform(
+            F.filter(folded, lambda o: o["occ"] == r), lambda o: F.get(rows, o["i"])))
+
+    codes = F.transform(rows, lambda r, i: F.struct(
+        i.alias("i"), r["study_ord"].alias("study"), r["_spelling"].alias("spelling")))
+    split = bind(bind(codes, fold), by_round)
     # Nearly every group has one row per study: it is one slot as it stands.
     return F.when(F.size(studies) == F.size(ords), F.array(rows)).otherwise(split)
 
@@ -148,7 +159,7 @@ def order_violations(df: DataFrame, by: Sequence[str] = ("study_ord",), order: s
     The work is cut into blocks of the file order so that one large study does not fall to one
     task: violations inside a block are counted there, and the blocks' first and last rows are then
     compared in a table with one row per block. ``block`` names a column that does not decrease
-    along ``order``; without it every (study, chr of the key) is not assumed and the study is one block.
+    along ``order``, such as the block start of a scan; without it a study is one block.
     """
     block_col = F.col(block) if block else F.lit(0)
     place = F.struct("chr", "pos")

@@ -174,11 +174,12 @@ def cohort_exclude(conf: DataFrame) -> DataFrame:
     A cohort counts as shared when its whole record is in B1, in whatever stratum; all rows of its
     name then leave that C2 analysis.
     """
-    record = ["name", "uri", "n_cases", "n_controls"]
-    b1 = conf.filter(F.col("ana") == "B1").select(*record).distinct()
-    shared = (conf.filter(F.col("ana") == "C2").join(b1, record, "left_semi")
-              .select("analysis", "name").distinct())
-    kept = conf.join(shared, ["analysis", "name"], "left_anti")
+    # Records and names repeat at most once per analysis of a manifest, so these groups are small.
+    record = Window.partitionBy("name", "uri", "n_cases", "n_controls")
+    in_b1 = F.max(F.col("ana") == "B1").over(record)
+    marked = conf.withColumn("_shared", (F.col("ana") == "C2") & in_b1)
+    leaves = F.max("_shared").over(Window.partitionBy("analysis", "name"))
+    kept = marked.withColumn("_leaves", leaves).filter(~F.col("_leaves"))
     rules = [(F.col("analysis") == a) & (F.col("name").startswith(n) if kind == "prefix" else F.col("name") == n)
              for a, n, kind in EXCLUDED]
     return kept.filter(~reduce(lambda x, y: x | y, rules)).select(*conf.columns)

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sumweave.functions.arrays import bind, fold_sum
 from sumweave.functions.numeric import (
     chi2_sf, effective_size, logistic_effective_size, p_from_z, z_from_p,
 )
@@ -34,10 +35,6 @@ class Method:
     needs_n: bool
 
 
-def _positive(x: Column) -> Column:
-    return F.nullif(x, F.lit(0).cast("double"))
-
-
 def _inv_var(m: Column) -> Column:
     return F.try_divide(F.lit(1.0), m["se"] * m["se"])
 
@@ -69,11 +66,6 @@ def with_sizes(df: DataFrame, studies: DataFrame) -> DataFrame:
     return df.join(studies.select("study_ord", "n_cases", "n_controls"), "study_ord")
 
 
-def _fold(array: Column, value: Callable[[Column], Column]) -> Column:
-    """Sum in array order; NULL as soon as one value is."""
-    return F.aggregate(array, F.lit(0.0), lambda acc, m: acc + value(m))
-
-
 def _terms(members: Column, methods: Sequence[str]) -> Column:
     """Per-study values that every family sums, worked out once per variant."""
     def row(m: Column) -> Column:
@@ -106,8 +98,8 @@ def _families(leave_one_out: bool, leave_most_sig_out: bool, pairwise_with_first
         ranked = F.transform(F.filter(rows, lambda m: m["pval"].isNotNull()),
                              lambda m: F.struct(m["pval"], m["study_ord"]))
         drop = F.when(F.size(rows) > 1, F.array_min(ranked)["study_ord"])
-        rest = F.when(drop.isNotNull(), F.filter(rows, lambda m: m["study_ord"] != drop))
-        out.append(F.array(_family("lmso", drop, rest)))
+        out.append(F.transform(F.array(drop), lambda o: _family(
+            "lmso", o, F.when(o.isNotNull(), F.filter(rows, lambda m: m["study_ord"] != o)))))
     ords = F.array(*[F.lit(o) for o in study_ords]).cast("array<int>")
     if leave_one_out:
         out.append(F.transform(ords, lambda o: _family(
@@ -126,8 +118,8 @@ def _families(leave_one_out: bool, leave_most_sig_out: bool, pairwise_with_first
         def subset(name: Column) -> Column:
             inside = F.transform(F.filter("members", lambda m: F.array_contains(m["subset_ids"], name)),
                                  lambda m: m["study_ord"])
-            return _family(F.concat(F.lit("subset_"), name), None,
-                           F.filter(rows, lambda t: F.array_contains(inside, t["study_ord"])))
+            kept = bind(inside, lambda ords: F.filter(rows, lambda t: F.array_contains(ords, t["study_ord"])))
+            return _family(F.concat(F.lit("subset_"), name), None, kept)
         out.append(F.transform(names, subset))
     return F.concat(*out)
 
@@ -216,14 +208,14 @@ def meta(aligned: DataFrame, methods: Sequence[str] = ("inv_var",), *, het: bool
     rows = F.col("_rows")
     sums = exploded.select(
         "*",
-        _fold(rows, lambda m: m["weight_n"]).alias("_n"),
-        _fold(rows, lambda m: m["af_n"]).alias("_af"),
-        _fold(rows, lambda m: m["info_n"]).alias("_info"),
-        _fold(rows, lambda m: m["n_cases"]).alias("_cases"),
-        _fold(rows, lambda m: m["n_controls"]).alias("_controls"),
-        _fold(rows, lambda m: m["nlog"]).alias("_neff"),
-        _fold(rows, lambda m: m["n"]).cast("bigint").alias("n_samples"),
-        *[F.struct(*[_fold(rows, lambda m, c=f"{part}_{name}": m[c]).alias(part)
+        fold_sum(rows, lambda m: m["weight_n"]).alias("_n"),
+        fold_sum(rows, lambda m: m["af_n"]).alias("_af"),
+        fold_sum(rows, lambda m: m["info_n"]).alias("_info"),
+        fold_sum(rows, lambda m: m["n_cases"]).alias("_cases"),
+        fold_sum(rows, lambda m: m["n_controls"]).alias("_controls"),
+        fold_sum(rows, lambda m: m["nlog"]).alias("_neff"),
+        fold_sum(rows, lambda m: m["n"]).cast("bigint").alias("n_samples"),
+        *[F.struct(*[fold_sum(rows, lambda m, c=f"{part}_{name}": m[c]).alias(part)
                      for part in ("w", "wb", "score", "spread")]).alias(f"_sum_{name}")
           for name in methods])
     # One step per layer, so that no fold is worked out twice: effects and z, then Q, then tails.

@@ -27,20 +27,23 @@ def _stat_columns(prefix: str, method: str, cell: Column, het: bool, het_name: s
     return out
 
 
-def to_wide(aligned: DataFrame, results: DataFrame, studies: Sequence[tuple[int, str]], methods: Sequence[str], *,
+def _study_row(study_ord: int) -> Column:
+    return F.get(F.filter("_members", lambda m: m["study_ord"] == study_ord), 0)
+
+
+def to_wide(results: DataFrame, studies: Sequence[tuple[int, str]], methods: Sequence[str], *,
             het: bool = False, leave_one_out: bool = False, leave_most_sig_out: bool = False,
             pairwise_with_first: bool = False, extra_cols: Sequence[str] = (), by: Sequence[str] = ()) -> DataFrame:
     """One row per variant: key, every study's columns, then each family's results.
 
-    ``results`` comes from :func:`sumweave.operators.meta.meta` on ``aligned`` with
-    ``keep=["members"]``; its few rows per variant are gathered into one map. The grouping keys
-    contain the alignment's, so no rows move again. ``studies`` is (study_ord, name) in order.
+    ``results`` comes from :func:`sumweave.operators.meta.meta` with ``keep=["members"]``; the rows
+    of a variant, one per family and method of the request, are gathered into one map. ``studies`` is (study_ord, name) in order.
     """
     keys = [*by, "chr", "pos", "ref", "alt", "occ"]
     cell = F.struct(*RESULT)
     # Families and methods are those of the request, so a map has a fixed number of entries.
     entry = F.struct(F.concat_ws("|", "family", "method"), cell)
-    head = F.struct(F.concat(F.col("family")), F.struct("left_out", "n_studies", "n_samples"))
+    head = F.struct("family", F.struct("left_out", "n_studies", "n_samples"))
     gathered = results.groupBy(*keys).agg(
         F.first("members").alias("_members"),
         F.map_from_entries(F.collect_list(entry)).alias("_cells"),
@@ -58,7 +61,7 @@ def to_wide(aligned: DataFrame, results: DataFrame, studies: Sequence[tuple[int,
            F.col("alt").alias("ALT"),
            variant_id(F.col("chr"), F.col("pos"), F.col("ref"), F.col("alt")).alias("SNP")]
     for i, (o, name) in enumerate(studies):
-        row = F.get(F.filter("_members", lambda m, o=o: m["study_ord"] == o), 0)
+        row = _study_row(o)
         out += [row[field].alias(f"{name}_{column}") for column, field in STUDY_COLUMNS.items()]
         out += [row[c].alias(f"{name}_{c}") for c in extra_cols]
         if pairwise_with_first and i > 0:

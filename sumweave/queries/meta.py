@@ -211,7 +211,7 @@ def wide(spark, sf) -> DataFrame:
     g = groups(spark, sf)
     options = {"het": True, "leave_one_out": True, "leave_most_sig_out": True}
     res = mt.meta(g, study_ords=fx.STUDY_ORDS, keep=["members"], **options)
-    return render.to_wide(g, res, STUDIES, ["inv_var"], **options)
+    return render.to_wide(res, STUDIES, ["inv_var"], **options)
 
 
 def _sci(x: str) -> str:
@@ -222,13 +222,16 @@ def _sci(x: str) -> str:
     WITH s AS ({sql_sums('aligned')})
     SELECT chr::VARCHAR AS "#CHR", pos::VARCHAR AS POS, ref AS REF, alt AS ALT, chr||':'||pos||':'||ref||':'||alt AS SNP,
       coalesce(max(CASE WHEN study_ord = 0 THEN n END)::VARCHAR, 'NA') AS S0_EUR_Nsamples,
+      coalesce(max(CASE WHEN study_ord = 4 THEN n END)::VARCHAR, 'NA') AS S4_AMR_Nsamples,
+      (sum(n) - coalesce(max(CASE WHEN study_ord = 4 THEN n END), 0))::BIGINT::VARCHAR AS leave_S4_AMR_Nsamples,
       {_sci('max(CASE WHEN study_ord = 0 THEN se END)')} AS S0_EUR_sebeta,
       count(*)::VARCHAR AS all_meta_Nstudies, sum(n)::BIGINT::VARCHAR AS all_meta_Nsamples,
       any_value(n_cases)::VARCHAR AS all_inv_var_meta_Ncases
     FROM (SELECT a.* EXCLUDE (n_cases), s.n_cases FROM aligned a JOIN s USING ({KEYS})) GROUP BY {KEYS}""", ("aligned",))
 def render_wide(spark, sf):
     text = render.render(wide(spark, sf), precision=3)
-    return text.select("#CHR", "POS", "REF", "ALT", "SNP", "S0_EUR_Nsamples", "S0_EUR_sebeta", "all_meta_Nstudies",
+    return text.select("#CHR", "POS", "REF", "ALT", "SNP", "S0_EUR_Nsamples", "S4_AMR_Nsamples",
+                       "leave_S4_AMR_Nsamples", "S0_EUR_sebeta", "all_meta_Nstudies",
                        "all_meta_Nsamples", "all_inv_var_meta_Ncases")
 
 
