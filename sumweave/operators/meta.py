@@ -13,11 +13,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sumweave.functions.arrays import bind, fold_sum
+from sumweave.functions.arrays import fold_sum
 from sumweave.functions.numeric import (
     chi2_sf, effective_size, logistic_effective_size, p_from_z, z_from_p,
 )
 
+#: Bits used of each word of subset membership.
+WORD = 62
 RESULT = ["beta", "se", "pval", "n_cases", "n_controls", "n_eff", "af_alt", "info", "het_p"]
 
 
@@ -66,7 +68,7 @@ def with_sizes(df: DataFrame, studies: DataFrame) -> DataFrame:
     return df.join(studies.select("study_ord", "n_cases", "n_controls"), "study_ord")
 
 
-def _terms(members: Column, methods: Sequence[str]) -> Column:
+def _terms(members: Column, methods: Sequence[str], carried: Sequence[str] = ()) -> Column:
     """Per-study values that every family sums, worked out once per variant."""
     def row(m: Column) -> Column:
         n = F.nullif(m["n"], F.lit(0).cast("bigint")).cast("double")
@@ -74,6 +76,7 @@ def _terms(members: Column, methods: Sequence[str]) -> Column:
                                           "n_cases", "n_controls")]
         fields += [n.alias("weight_n"), (m["af_alt"] * n).alias("af_n"), (m["info"] * n).alias("info_n"),
                    logistic_effective_size(m["n_cases"], m["n_controls"]).alias("nlog")]
+        fields += [m[c].alias(c) for c in carried]
         for name in methods:
             method = METHODS[name]
             fields += [method.weight(m).alias(f"w_{name}"), (method.weight(m) * m["beta"]).alias(f"wb_{name}"),
@@ -89,7 +92,7 @@ def _family(name: Column | str, left_out: Column | None, rows: Column) -> Column
 
 
 def _families(leave_one_out: bool, leave_most_sig_out: bool, pairwise_with_first: bool,
-              subsets: bool, study_ords: Sequence[int], everything: bool) -> Column:
+              subsets: Sequence[str], study_ords: Sequence[int], everything: bool) -> Column:
     rows = F.col("_terms")
     nothing = F.filter(rows, lambda m: F.lit(False))
     out = [F.array(_family("all", None, rows))] if everything else []
@@ -113,14 +116,15 @@ def _families(leave_one_out: bool, leave_most_sig_out: bool, pairwise_with_first
             return _family(F.concat(F.lit("pair_"), o.cast("string")), None, kept)
         out.append(F.transform(F.slice(ords, 2, max(len(study_ords) - 1, 1)), pair))
     if subsets:
-        names = F.array_distinct(F.flatten(F.transform("members", lambda m: m["subset_ids"])))
-
-        def subset(name: Column) -> Column:
-            inside = F.transform(F.filter("members", lambda m: F.array_contains(m["subset_ids"], name)),
-                                 lambda m: m["study_ord"])
-            kept = bind(inside, lambda ords: F.filter(rows, lambda t: F.array_contains(ords, t["study_ord"])))
-            return _family(F.concat(F.lit("subset_"), name), None, kept)
-        out.append(F.transform(names, subset))
+        table = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(i // WORD).alias("word"),
+                                   F.lit(1 << i % WORD).cast("bigint").alias("bit"))
+                          for i, name in enumerate(subsets)])
+
+        def subset(s: Column) -> Column:
+            inside = F.filter(rows, lambda m: F.get(m["subset_bits"], s["word"]).bitwiseAND(s["bit"]) != 0)
+            return _family(F.concat(F.lit("subset_"), s["name"]), None, inside)
+        # A subset none of whose studies has the variant gives no row.
+        out.append(F.filter(F.transform(table, subset), lambda f: F.size(f["rows"]) > 0))
     return F.concat(*out)
 
 
@@ -172,12 +176,12 @@ def _result(name: str, het: bool) -> Column:
 
 def meta(aligned: DataFrame, methods: Sequence[str] = ("inv_var",), *, het: bool = False,
          leave_one_out: bool = False, leave_most_sig_out: bool = False,
-         pairwise_with_first: bool = False, subsets: bool = False, everything: bool = True,
+         pairwise_with_first: bool = False, subsets: Sequence[str] = (), everything: bool = True,
          chrom: int | None = None, study_ords: Sequence[int] = (), keep: Sequence[str] = ()) -> DataFrame:
     """Meta-analyse the result of :func:`align_groups`, in long form.
 
     ``members`` must carry beta, se, pval, af_alt, info, n, n_cases and n_controls, and
-    ``subset_ids`` when ``subsets`` is asked for. ``study_ords`` is the configured study list,
+    ``subset_bits`` (see :func:`subset_table`) when ``subsets`` names any. ``study_ords`` is the configured study list,
     which leave-one-out and pairwise results follow even where a study lacks the variant.
     One row per variant, family and method: the grouping columns, the variant, ``occ``, ``family``,
     ``left_out``, ``method``, ``n_studies``, ``n_samples`` and the statistics. A family with two or
@@ -201,7 +205,7 @@ def meta(aligned: DataFrame, methods: Sequence[str] = ("inv_var",), *, het: bool
 
     if needs_z or needs_neff:
         aligned = aligned.withColumn("members", F.transform("members", extended))
-    exploded = (aligned.withColumn("_terms", _terms(F.col("members"), methods))
+    exploded = (aligned.withColumn("_terms", _terms(F.col("members"), methods, ["subset_bits"] if subsets else []))
                 .withColumn("_f", F.explode(families))
                 .select(*keys, *keep, F.col("_f.family").alias("family"), F.col("_f.left_out").alias("left_out"),
                         F.col("_f.rows").alias("_rows")))
@@ -231,10 +235,20 @@ def meta(aligned: DataFrame, methods: Sequence[str] = ("inv_var",), *, het: bool
     return tails.select(*keys, *keep, "family", "left_out", "n_studies", "n_samples", F.inline(results))
 
 
-def subset_table(names: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """(study_ord, subset_ids) from rules over the study name; a study may be in many subsets."""
-    tags = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]))
-    return names.select("study_ord", tags.alias("subset_ids"))
+def subset_table(studies: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """(study_ord, subset_bits): which of the rules each study satisfies, one bit per rule.
+
+    Rows carry these few words through the alignment instead of subset names. Pass the names of
+    ``rules``, in order, to :func:`meta`.
+    """
+    conditions = list(rules.values())
+    words = []
+    for start in range(0, len(conditions), WORD):
+        word = F.lit(0).cast("bigint")
+        for i, rule in enumerate(conditions[start:start + WORD]):
+            word = word + F.when(rule, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        words.append(word)
+    return studies.select("study_ord", F.array(*words).alias("subset_bits"))
 
 
 def standard_subsets(name: Column) -> dict[str, Column]:

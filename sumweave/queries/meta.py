@@ -190,9 +190,9 @@ _SUBSET_SQL = """(SELECT study_ord, unnest(CASE WHEN study LIKE '%\\_EUR' ESCAPE
     sums AS ({sql_sums('fam', 'family')}) {sql_shown('family')}""", ("aligned", "fx_study"))
 def meta_by_subset(spark, sf):
     study = fx.study(spark, sf)
-    tags = mt.subset_table(study, mt.standard_subsets(F.col("study")))
-    rows = mt.with_sizes(fx.munged(spark, sf), study).join(tags, "study_ord")
-    return shown(mt.meta(al.align_groups(rows), subsets=True, everything=False), "family")
+    rules = mt.standard_subsets(F.col("study"))
+    rows = mt.with_sizes(fx.munged(spark, sf), study).join(mt.subset_table(study, rules), "study_ord")
+    return shown(mt.meta(al.align_groups(rows), subsets=list(rules), everything=False), "family")
 
 
 @query("extra_cols", f"""

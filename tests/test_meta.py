@@ -217,3 +217,15 @@ def test_unknown_method_and_missing_columns(spark, three):
         meta(three, ["fisher"])
     with pytest.raises(ValueError):
         meta(align_groups(rows(spark, [row(0, "A", "C")]).drop("se")))
+
+
+def test_subsets_beyond_one_word(spark):
+    from sumweave.operators.meta import subset_table
+
+    k = sizes(spark, 3)
+    rules = {f"s{i}": F.col("study_ord") == i % 3 if i < 69 else F.col("study_ord") < 2 for i in range(70)}
+    g = align_groups(with_sizes(rows(spark, [row(s, "A", "C", 0.1 * s) for s in range(3)]), k)
+                     .join(subset_table(k, rules), "study_ord"))
+    out = {r.family: r for r in meta(g, subsets=list(rules), everything=False).collect()}
+    assert len(out) == 70 and out["subset_s65"].beta == pytest.approx(0.2) and out["subset_s65"].n_studies == 1
+    assert out["subset_s69"].beta == pytest.approx(0.05) and out["subset_s69"].n_studies == 2
