@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sumweave.llm import byte_bpe, url_filter
+from sumweave.llm import byte_bpe, ngram_join, substring_dedup, url_filter
 from sumweave.llm.registry import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -34,6 +34,16 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM pars
 """
 
 
+@query("op1_substring_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(substring_dedup.remove_repeats(spark, table(spark, sf_dir, "documents")))
+
+
+@query("op3_ngram_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(spark, table(spark, sf_dir, "documents"))
+
+
 @query("op5_url_filter", URL_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rules_frame(spark, URL_RULES))
