@@ -239,15 +239,15 @@ def link_groups(spark: SparkSession, sets: DataFrame, percent: int, group_grams:
     least = tokens.groupBy("gram").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("top")).where("v <> top").select("gram", "v")
     stars = tokens.join(least, "gram").select(F.col("doc_id").alias("u"), "v").where("u <> v")
     groups = connected(spark, stars).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "group")
-    grouped = saved_sets = X.saved(spark, sets.drop("prefix").join(groups, "doc_id"), "sets")
+    grouped = X.saved(spark, sets.drop("prefix").join(groups, "doc_id"), "sets")
     weights = X.saved(spark, grouped.groupBy("group").agg(F.sum(F.octet_length("grams") / 8 + 1).cast("long").alias("weight")), "weights")
     large = weights.where(F.col("weight") > group_grams).select(
         "group", F.ceil(F.col("weight") / group_grams).cast("long").alias("blocks"))
     if large.isEmpty():
         return _labels(grouped.groupBy("group"), percent).select("doc_id", F.col("label").alias("component"))
-    whole = _labels(saved_sets.join(large, "group", "left_anti").groupBy("group"), percent)
+    whole = _labels(grouped.join(large, "group", "left_anti").groupBy("group"), percent)
     # Large groups: every block alone.
-    blocks = X.saved(spark, saved_sets.join(large, "group").withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks")), "blocks")
+    blocks = X.saved(spark, grouped.join(large, "group").withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks")), "blocks")
     alone = X.saved(spark, _labels(blocks.groupBy("group", "block"), percent), "labels")
     links = alone.select(F.col("doc_id").alias("u"), F.col("label").alias("v"))
     # The sets that stand for the classes of the blocks, searched together block-wise by another hash.
@@ -258,7 +258,8 @@ def link_groups(spark: SparkSession, sets: DataFrame, percent: int, group_grams:
     marked = _with_class(spark, blocks, links)
     # Outside the largest class of its group: against every block, where the class differs.
     biggest = marked.groupBy("group", "class").count().groupBy("group").agg(F.max(F.struct("count", "class"))["class"].alias("big"))
-    outer = marked.join(biggest, "group").where("class <> big")
+    # Written, so that both sides of the join below are tables of their own.
+    outer = X.saved(spark, marked.join(biggest, "group").where("class <> big").drop("big"), "outer")
     spread = outer.select("group", "doc_id", "n", "grams", "class", F.col("block").alias("from_block"),
                           F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
 
@@ -279,6 +280,7 @@ def link_groups(spark: SparkSession, sets: DataFrame, percent: int, group_grams:
     # A task holds one block and the outer sets of one block.
     froms = marked.select("group", "block", "doc_id", "n", "grams", "class", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("from_block"))
     froms = froms.join(outer.select("group", F.col("block").alias("from_block")).distinct(), ["group", "from_block"], "left_semi")
+    froms = X.saved(spark, froms, "froms")
     keys = ["group", "block", "from_block"]
     crossing = froms.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInArrow(across, "u long, v long")
     final = connected(spark, links.union(crossing))
