@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sumweave.llm import byte_bpe, ngram_join, substring_dedup, toxicity, url_filter
+from sumweave.llm import byte_bpe, decontaminate, ngram_join, substring_dedup, toxicity, url_filter
 from sumweave.llm.registry import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -34,12 +34,63 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM pars
 """
 
 
-@query("op1_substring_dedup")
+REPEATS_SQL = r"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), win AS (
+  SELECT r, s, array_to_string(ws[s:s + 34], ' ') AS g FROM w, unnest(range(1, len(ws) - 33)) AS t(s)
+), rep AS (
+  SELECT r, list(DISTINCT p) AS gone FROM (
+    SELECT r, unnest(range(s, s + 35)) AS p FROM win WHERE g IN (SELECT g FROM win GROUP BY g HAVING count(*) > 1)) GROUP BY r
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(len(gone), 0) AS n_removed,
+       sha256(array_to_string(list_filter(ws, lambda x, i: NOT list_contains(coalesce(gone, []), i)), ' ')) AS kept_sha256
+FROM w LEFT JOIN rep USING (r)
+"""
+
+SIMILAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[s:s + 4], ' ') AS g FROM w, unnest(range(1, greatest(len(ws) - 3, 2))) AS t(s) WHERE len(ws) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+reach AS (SELECT doc_id, doc_id AS c FROM w UNION SELECT e.a, c FROM reach JOIN e ON e.b = reach.doc_id WHERE c < e.a)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN reach USING (doc_id) GROUP BY 1
+"""
+
+DECONTAMINATE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents
+), i AS (
+  SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, least(len(ws), 13) AS m, array_to_string(ws[s:s + 12], ' ') AS g
+  FROM i, unnest(range(1, greatest(len(ws) - 11, 2))) AS t(s) WHERE len(ws) > 0
+), dw AS (
+  SELECT r, s, m, array_to_string(ws[s:s + m - 1], ' ') AS g
+  FROM d, (SELECT DISTINCT m FROM iw), unnest(range(1, len(ws) - m + 2)) AS t(s)
+), hit AS (SELECT r, s, m, item_id FROM dw JOIN iw USING (m, g)),
+p AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + m)) AS p FROM hit) GROUP BY r),
+q AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN p USING (r) LEFT JOIN q USING (r)
+"""
+
+
+@query("op1_substring_dedup", REPEATS_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(substring_dedup.remove_repeats(spark, table(spark, sf_dir, "documents")))
 
 
-@query("op3_ngram_join")
+@query("op3_ngram_join", SIMILAR_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(spark, table(spark, sf_dir, "documents"))
 
@@ -49,6 +100,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rules_frame(spark, URL_RULES))
 
 
+@query("op6_decontaminate", DECONTAMINATE_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op7_toxicity")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
