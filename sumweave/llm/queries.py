@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sumweave.llm import byte_bpe, decontaminate, ngram_join, substring_dedup, toxicity, url_filter
+from sumweave.llm import byte_bpe, decontaminate, ngram_join, substring_dedup, token_huffman, toxicity, url_filter
 from sumweave.llm.registry import ORACLE, QUERIES, query, table
+from sumweave.session import scratch_path
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -114,3 +115,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                             public_tokenizers.PATTERN)
+
+
+@query("op9_token_huffman")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_huffman.through_files(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1,
+                                       scratch_path(spark, "tokens"))
