@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sumweave.llm import byte_bpe, decontaminate, ngram_join, substring_dedup, token_huffman, toxicity, url_filter
+from sumweave.llm import byte_bpe, decontaminate, hamming_ann, ngram_join, substring_dedup, token_huffman, toxicity, url_filter
 from sumweave.llm.registry import ORACLE, QUERIES, query, table
 from sumweave.session import scratch_path
 
@@ -121,3 +121,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_huffman.through_files(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1,
                                        scratch_path(spark, "tokens"))
+
+
+@query("op10_hamming_ann")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_ann.search(spark, table(spark, sf_dir, "embeddings"))
