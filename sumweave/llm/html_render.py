@@ -234,9 +234,8 @@ def _children(node: Node, layout: Layout) -> None:
         if isinstance(child, str):
             if node.tag == "pre":
                 for i, line in enumerate(child.split("\n")):
-                    if i:
-                        layout.lines.append(layout.line.rstrip()) if layout.line.strip() or layout.lines else None
-                        layout.line = ""
+                    if i:  # empty lines in a row count as one
+                        layout.end(0 if layout.line.strip() else 1)
                     layout.line += line
             else:
                 layout.words(child)
