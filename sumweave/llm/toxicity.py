@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sumweave.llm.exchange import saved
+
 #: At most so many labelled rows train the model; which ones is decided by a hash of their id.
 SAMPLE = 20_000
 #: Terms of the lexicon, lexicon terms per voter, and terms the classifier sees.
@@ -84,7 +86,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     known = known.where(~held_out("doc_id")).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return texts.join(chosen, "doc_id").dropDuplicates(["doc_id"])
+    # The chosen ids are at most `sample` rows, so the documents need not be shuffled.
+    return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
 
 
 def term_counts(rows: DataFrame) -> DataFrame:
@@ -165,7 +168,7 @@ def linear_classifier(x: np.ndarray, target: np.ndarray, rounds: int = 400, ridg
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """The model; without toxic training rows one that calls nothing toxic."""
-    rows = training_rows(docs, labels, sample)
+    rows = saved(docs.sparkSession, training_rows(docs, labels, sample), "training")
     counts = term_counts(rows).groupBy("word").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum("n").alias("all"))
     # A fixed number of rows reaches the driver: the terms surest to be toxic.
