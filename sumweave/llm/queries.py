@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sumweave.llm import byte_bpe, decontaminate, hamming_ann, html_render, ngram_join, substring_dedup, token_huffman, toxicity, url_filter
+from sumweave.llm import byte_bpe, decontaminate, hamming_ann, html_render, license_scan, ngram_join, substring_dedup, token_huffman, toxicity, url_filter
 from sumweave.llm.registry import ORACLE, QUERIES, query, table
 from sumweave.session import scratch_path
 
@@ -131,3 +131,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_html_render")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_render.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op2_license_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(spark, table(spark, sf_dir, "documents"))
