@@ -144,3 +144,21 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return round_trip(docs, ranks_path, pattern).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+
+
+def checked(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, same): packed ids, and whether they decode to the bytes of the text (of an empty one, for null)."""
+    def run(batches):
+        enc = encoding(ranks_path, pattern)
+        for batch in batches:
+            first = 0
+            for part in _rows([batch], lambda data: encode_text(enc, (data or b"").decode("utf-8", "replace")).astype("<u4").tobytes(),
+                              ["doc_id", "ids"]):
+                texts = batch.column(1).slice(first, part.num_rows)
+                first += part.num_rows
+                same = [decode_ids(enc, np.frombuffer(ids.as_py(), "<u4")) == (text.as_py() or b"") for ids, text in zip(part.column(1), texts)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(same, pa.bool_())], ["doc_id", "ids", "same"])
+
+    source = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    out = source.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, same boolean")
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "same")
