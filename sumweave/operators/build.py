@@ -9,20 +9,22 @@ from pyspark.sql import functions as F
 def detect_build(df: DataFrame, maps: DataFrame, by: str = "study_ord", strict: bool = False) -> DataFrame:
     """Per study: rows at positions of each build map, and the build with more of them.
 
-    Ties go to b38. A study without any hit has no build; ``strict`` fails the job for it.
-    The maps are reduced to one row per position, so the join cannot multiply rows, and only
-    (study, chr, pos) of chromosome 21 is read from the studies.
+    Ties go to b38. A study without any hit, be it that it has no chromosome 21, has no build;
+    ``strict`` fails the job for it. The maps are reduced to one row per position, so the join
+    cannot multiply rows, and only (study, chr, pos) is read from the studies.
     """
-    sites = maps.groupBy("chr", "pos").agg(
+    sites = maps.filter(F.col("chr") == 21).groupBy("pos").agg(
         F.max((F.col("build") == "b37").cast("bigint")).alias("in37"),
         F.max((F.col("build") == "b38").cast("bigint")).alias("in38"))
-    # Rows per (study, position) are counted before the join, on the map side.
-    places = (df.filter(F.col("chr") == 21).groupBy(by, "chr", "pos").agg(F.count("*").alias("n")))
-    hits = places.join(sites, ["chr", "pos"], "left").groupBy(by).agg(
+    # Rows are counted before the join, on the map side. Those of other chromosomes become one
+    # row per study without a position, so that no study is lost.
+    places = (df.groupBy(by, F.when(F.col("chr") == 21, F.col("pos")).alias("pos"))
+              .agg(F.count("*").alias("n")))
+    hits = places.join(sites, "pos", "left").groupBy(by).agg(
         F.coalesce(F.sum(F.col("n") * F.col("in37")), F.lit(0)).alias("n_b37"),
         F.coalesce(F.sum(F.col("n") * F.col("in38")), F.lit(0)).alias("n_b38"))
     none = (F.col("n_b37") == 0) & (F.col("n_b38") == 0)
-    missing = F.raise_error(F.lit("no chr 21 positions found in either build")).cast("string") \
-        if strict else F.lit(None).cast("string")
+    missing = F.raise_error(F.concat(F.lit("study "), F.col(by).cast("string"), F.lit(" has no row at a known position"))
+                            ).cast("string") if strict else F.lit(None).cast("string")
     build = F.when(none, missing).when(F.col("n_b37") > F.col("n_b38"), "b37").otherwise("b38")
     return hits.withColumn("build", build)

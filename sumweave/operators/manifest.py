@@ -56,6 +56,12 @@ def parse_name(df: DataFrame) -> DataFrame:
     return df.select("*", *out)
 
 
+def parse_sample_name(df: DataFrame) -> DataFrame:
+    """The three underscore tokens of a sample-information file name."""
+    tokens = F.split(F.regexp_replace(base_name(F.col("uri")), "[.]zip$", ""), "_")
+    return df.select("*", *[F.get(tokens, i).alias(part) for i, part in enumerate(("dataset", "surname", "freeze"))])
+
+
 def manifest_shape(df: DataFrame, line: str, n_fields: int, prefix: str = "gs://") -> DataFrame:
     """Lines with the wrong number of blank-separated fields or without the prefix."""
     value = F.col(line)
@@ -80,13 +86,17 @@ def pick_latest(parsed: DataFrame, when: Sequence[str] = ("date", "seq")) -> Dat
 
 def contribution_table(parsed: DataFrame, freezes: Sequence[str], phenos: Sequence[str] = PHENOS,
                        sampleinfo: DataFrame | None = None) -> DataFrame:
-    """Studies and buckets by freeze and phenotype: ``cases/controls`` of the latest file."""
+    """Studies and buckets by freeze and phenotype: ``cases/controls`` of the latest file.
+
+    Studies with sample information only are listed, too. ``sampleinfo`` has (uri, dataset, freeze).
+    """
     columns = [f"{f}_{p}" for f in freezes for p in phenos]
     latest = pick_latest(parsed)
     cells = (latest.withColumn("_cell", F.concat_ws("_", "freeze", "pheno"))
              .groupBy("dataset").pivot("_cell", columns)
              .agg(F.first(F.concat_ws("/", F.col("cases").cast("string"), F.col("controls").cast("string")))))
-    studies = parsed.select("dataset", bucket(F.col("uri")).alias("bucket")).distinct()
+    places = [x.select("dataset", bucket(F.col("uri")).alias("bucket")) for x in (parsed, sampleinfo) if x is not None]
+    studies = (places[0] if len(places) == 1 else places[0].union(places[1])).distinct()
     table = studies.join(cells, "dataset", "left")
     if sampleinfo is not None:
         flags = (sampleinfo.groupBy("dataset").pivot("freeze", list(freezes)).agg(F.first(F.lit("YES")))

@@ -240,9 +240,10 @@ CTES["conf"] = (("dotted_valid",), """
         SELECT *, ana || '_' || stratum AS analysis, cohort || '_' || pop AS name FROM (
           SELECT *, CASE WHEN sex = 'ALL' THEN age ELSE sex END AS stratum FROM dotted_valid WHERE NOT (sex <> 'ALL' AND age <> 'ALL'))""")
 CTES["fx_runs"] = ((), """
-        SELECT user_id % 10 AS run_id, event_type AS call_name, user_id AS shard,
+        SELECT user_id % 30 AS run_id, event_type AS call_name, user_id AS shard,
           row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id)::INTEGER AS attempt,
-          CASE WHEN event_id % 7 = 0 THEN 'Failed' ELSE 'Done' END AS status, ts AS start_ts, value AS dur_min, event_id FROM events""")
+          CASE WHEN event_id % 7 = 0 THEN 'Failed' WHEN event_id % 11 = 0 THEN 'Aborted'
+            WHEN event_id % 13 = 0 THEN 'RetryableFailure' ELSE 'Done' END AS status, ts AS start_ts, value AS dur_min, event_id FROM events""")
 CTES["fx_shortlist"] = ((), f"""
         SELECT (p_partkey % 25 + 1) || ':' || (p_partkey * 100) || ':' || {ref_sql('p_partkey')} || ':' || {alt_sql('p_partkey')} AS snp
         FROM part WHERE p_partkey % 10 = 0""")

@@ -149,9 +149,10 @@ def runs(spark: SparkSession, sf: str) -> DataFrame:
 
     w = Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id")
     return table(spark, sf, "events").select(
-        (F.col("user_id") % 10).alias("run_id"), F.col("event_type").alias("call_name"),
+        (F.col("user_id") % 30).alias("run_id"), F.col("event_type").alias("call_name"),
         F.col("user_id").alias("shard"), F.row_number().over(w).alias("attempt"),
-        F.when(F.col("event_id") % 7 == 0, "Failed").otherwise("Done").alias("status"),
+        F.when(F.col("event_id") % 7 == 0, "Failed").when(F.col("event_id") % 11 == 0, "Aborted")
+        .when(F.col("event_id") % 13 == 0, "RetryableFailure").otherwise("Done").alias("status"),
         F.col("ts").alias("start_ts"), F.col("value").alias("dur_min"), "event_id")
 
 

@@ -57,10 +57,14 @@ _CELLS = ", ".join(f"max(CASE WHEN \"freeze\" = '{f}' AND pheno = '{p}' THEN cas
     i AS (SELECT dataset, max(CASE WHEN seq % 5 = 0 AND "freeze" = 'F1' THEN 'YES' END) AS "F1_sampleinfo",
       max(CASE WHEN seq % 5 = 0 AND "freeze" = 'F2' THEN 'YES' END) AS "F2_sampleinfo",
       max(CASE WHEN seq % 5 = 0 AND "freeze" = 'F3' THEN 'YES' END) AS "F3_sampleinfo" FROM v GROUP BY dataset)
-    SELECT DISTINCT v.bucket, t.*, i.* EXCLUDE (dataset) FROM v JOIN t USING (dataset) JOIN i USING (dataset)""", ("fx_named",))
+    SELECT DISTINCT v.bucket, t.*, i.* EXCLUDE (dataset) FROM v JOIN t USING (dataset) JOIN i USING (dataset)
+    UNION ALL BY NAME SELECT 'up9' AS bucket, 'Lonely' AS dataset, 'YES' AS "F2_sampleinfo" WHERE EXISTS (SELECT 1 FROM fx_named WHERE seq = 0)""", ("fx_named",))
 def contribution_table(spark, sf):
     parsed = results(spark, sf)
-    info = parsed.filter("seq % 5 = 0").select("dataset", "freeze")
+    # Every fifth file's study gives sample information; so does one study without results.
+    info = parsed.filter("seq % 5 = 0").select("uri", "dataset", "freeze")
+    lone = fx.files(spark, sf).filter("seq = 0").select(F.lit("gs://up9/Lonely_Smith_F2.zip").alias("uri"))
+    info = info.union(manifest.parse_sample_name(lone).select("uri", "dataset", "freeze"))
     return manifest.contribution_table(parsed, ["F1", "F2", "F3"], sampleinfo=info)
 
 
@@ -219,7 +223,8 @@ _LAST = """last AS (SELECT * FROM fx_runs QUALIFY row_number() OVER (PARTITION B
 
 
 @query("workflow_summary", f"""WITH {_LAST}
-    SELECT run_id, call_name, count(*) FILTER (status = 'Done') AS n_done, count(*) FILTER (status = 'Failed') AS n_failed, count(dur_min) AS n_finished,
+    SELECT run_id, call_name, count(*) FILTER (status = 'Done') AS n_done, count(*) FILTER (status = 'Failed') AS n_failed,
+      count(*) FILTER (status NOT IN ('Done', 'Failed')) AS n_other, count(dur_min) AS n_finished,
       min(dur_min) AS min_min, max(dur_min) AS max_min, {sql_rnd('sum(dur_min)', 4)} AS total_min, {sql_rnd('avg(dur_min)', 4)} AS avg_min,
       arg_min(shard, (dur_min, shard)) AS min_job, arg_max(shard, (dur_min, -shard)) AS max_job FROM last GROUP BY 1, 2""", ("fx_runs",))
 def workflow_summary(spark, sf):
@@ -227,29 +232,33 @@ def workflow_summary(spark, sf):
     return out.withColumn("total_min", rnd("total_min", 4)).withColumn("avg_min", rnd("avg_min", 4))
 
 
+@query("workflow_statuses", f"""WITH {_LAST}
+    SELECT run_id, call_name, status, count(*) AS n FROM last GROUP BY 1, 2, 3""", ("fx_runs",))
+def workflow_statuses(spark, sf):
+    return runlog.status_counts(fx.runs(spark, sf))
+
+
 def parents(spark, sf) -> DataFrame:
-    """Runs in two levels: each run's parent is half its number, 0 being the root."""
+    """Runs in two chains, one of twenty levels: each run's parent is the one before it; 0 and 20 are roots."""
     run = F.col("run_id")
-    return fx.runs(spark, sf).select("run_id").distinct().select(
-        "run_id", F.when(run > 0, F.expr("run_id div 2")).alias("parent_id"))
+    return fx.runs(spark, sf).select("run_id").distinct().select("run_id", F.when(run % 20 > 0, run - 1).alias("parent_id"))
 
 
 @query("workflow_totals", f"""WITH {_LAST}
-    SELECT 0::BIGINT AS root, call_name, status, count(*) AS n FROM last GROUP BY 2, 3""", ("fx_runs",))
+    SELECT CASE WHEN run_id < 20 THEN 0::BIGINT ELSE 20::BIGINT END AS root, call_name, status, count(*) AS n FROM last GROUP BY 1, 2, 3""", ("fx_runs",))
 def workflow_totals(spark, sf):
     out = runlog.workflow_totals(fx.runs(spark, sf), parents(spark, sf))
     return out.select("root", "call_name", "status", "n")
 
 
-@query("workflow_failures", """SELECT run_id, call_name, shard, attempt, 'root cause ' || event_id AS message FROM fx_runs WHERE status = 'Failed'""", ("fx_runs",))
+@query("workflow_failures", f"""WITH {_LAST}
+    SELECT run_id, call_name, shard, attempt, 'root cause ' || event_id AS message FROM last WHERE status = 'Failed'""", ("fx_runs",))
 def workflow_failures(spark, sf):
-    text = lambda t: F.concat(F.lit(t), F.col("event_id").cast("string"))
-    none = F.array().cast("array<struct<message:string>>")
-    leaf = F.struct(text("root cause ").alias("message"), none.alias("causedBy"))
-    top = F.when(F.col("event_id") % 2 == 0, F.struct(text("job ").alias("message"), F.array(leaf).alias("causedBy")))
-    flat = F.struct(text("root cause ").alias("message"), F.filter(F.array(leaf), lambda x: F.lit(False)).alias("causedBy"))
-    jobs = fx.runs(spark, sf).withColumn("failures", F.array(F.coalesce(top, flat)))
-    return runlog.workflow_failures(jobs)
+    # Up to fourteen causes below each other.
+    depth = (F.col("event_id") % 15).cast("int")
+    leaf = F.concat(F.lit('{"message":"root cause '), F.col("event_id").cast("string"), F.lit('","causedBy":[]}'))
+    nested = F.concat(F.repeat(F.lit('{"message":"above","causedBy":['), depth), leaf, F.repeat(F.lit("]}"), depth))
+    return runlog.workflow_failures(fx.runs(spark, sf).withColumn("failures", F.array(nested)))
 
 
 @query("recent_runs", "SELECT event_id, run_id, call_name, status FROM fx_runs ORDER BY start_ts DESC, event_id DESC LIMIT 10", ("fx_runs",))

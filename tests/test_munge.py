@@ -136,12 +136,12 @@ def test_liftover_reference_check_and_swap(spark):
 
 
 def test_build_detection(spark):
-    df = spark.createDataFrame([(0, 21, 10), (0, 21, 20), (1, 21, 30), (2, 21, 99)], "study_ord int, chr int, pos bigint")
+    df = spark.createDataFrame([(0, 21, 10), (0, 21, 20), (1, 21, 30), (2, 21, 99), (3, 5, 10), (0, 5, 30)], "study_ord int, chr int, pos bigint")
     maps = spark.createDataFrame([("b37", 21, 10), ("b37", 21, 20), ("b38", 21, 20), ("b38", 21, 30), ("b37", 21, 30)],
                                  "build string, chr int, pos bigint")
     got = {r.study_ord: (r.n_b37, r.n_b38, r.build) for r in detect_build(df, maps).collect()}
-    assert got == {0: (2, 1, "b37"), 1: (1, 1, "b38"), 2: (0, 0, None)}
-    with pytest.raises(Exception, match="no chr 21 positions"):
+    assert got == {0: (2, 1, "b37"), 1: (1, 1, "b38"), 2: (0, 0, None), 3: (0, 0, None)}
+    with pytest.raises(Exception, match="has no row at a known position"):
         detect_build(df, maps, strict=True).collect()
 
 

@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from sumweave.operators.runlog import workflow_failures, workflow_summary, workflow_totals
+from sumweave.operators.runlog import status_counts, tree_roots, workflow_failures, workflow_summary, workflow_totals
 from sumweave.plans.meta import finish, run_meta
 from sumweave.plans.munge import clean, munge
 from sumweave.sources import config, delimited, runs, sinks
@@ -138,15 +138,27 @@ def test_munge_pipeline(spark):
 
 
 def test_workflow_metadata(spark, tmp_path):
-    deep = {"message": "top", "causedBy": [{"message": "mid", "causedBy": [{"message": "root", "causedBy": []}]}]}
+    deep = {"message": "root", "causedBy": []}
+    for level in range(12):
+        deep = {"message": f"m{level}", "causedBy": [deep, {"message": "other", "causedBy": []}]}
     job = lambda shard, attempt, status, **m: {"shardIndex": shard, "attempt": attempt, "executionStatus": status, **m}
-    times = {"start": "2022-04-11T10:00:00.000Z", "end": "2022-04-11T10:30:00.000Z"}
+    times = {"start": "2022-04-11T10:00:00.000Z", "end": "2022-04-11T10:30:00.000Z", "stdout": "gs://b/w/call-a/shard-0/attempt-2/stdout"}
     doc = {"id": "w1", "workflowName": "w", "status": "Failed", "calls": {"w.a": [
-        job(0, 1, "RetryableFailure"), job(0, 2, "Done", **times), job(1, 1, "Failed", failures=[deep])]}}
+        job(0, 1, "Failed", failures=[{"message": "superseded", "causedBy": []}]), job(0, 2, "Done", **times),
+        job(1, 1, "Failed", failures=[deep, {"message": "flat"}]), job(2, 1, "Aborted", backendStatus="Stopped")]}}
     (tmp_path / "w1.json").write_text(json.dumps(doc))
     jobs = runs.scan_runs(spark, str(tmp_path))
     (s,) = workflow_summary(jobs).collect()
-    assert (s.n_done, s.n_failed, s.n_finished, s.max_min, s.max_job) == (1, 1, 1, 30.0, 0)
-    assert [r.message for r in workflow_failures(jobs).collect()] == ["root"]
+    assert (s.n_done, s.n_failed, s.n_other, s.n_finished, s.max_min) == (1, 1, 1, 1, 30.0)
+    assert (s.min_job, s.max_job, s.base_path) == (times["stdout"], times["stdout"], "gs://b/w/call-a/")
+    assert sorted(r.message for r in workflow_failures(jobs).collect()) == ["flat", "root"]
+    assert {(r.status, r.n) for r in status_counts(jobs).collect()} == {("Done", 1), ("Failed", 1), ("Aborted_Stopped", 1)}
     parents = spark.createDataFrame([("w1", "w0"), ("w0", None)], "run_id string, parent_id string")
-    assert {(r.root, r.status, r.n) for r in workflow_totals(jobs, parents).collect()} == {("w0", "Done", 1), ("w0", "Failed", 1)}
+    assert {(r.root, r.status, r.n) for r in workflow_totals(jobs, parents).collect()} == {
+        ("w0", "Done", 1), ("w0", "Failed", 1), ("w0", "Aborted_Stopped", 1)}
+
+
+def test_roots_of_deep_trees(spark):
+    chain = [(i, i - 1 if i else None) for i in range(50)] + [(60, 55)]
+    roots = tree_roots(spark.createDataFrame(chain, "run_id long, parent_id long"))
+    assert {tuple(r) for r in roots.collect()} == {(i, 0) for i in range(50)} | {(60, 55)}
