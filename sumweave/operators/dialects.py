@@ -41,9 +41,14 @@ class Dialect:
         return [n for n in named if isinstance(n, str)] + list(self.needs)
 
 
+#: Columns that scans and plans add to a vendor's; they have no position and stay as they are.
+ADDED = ("file_order", "n_fields", "study_ord", "pop")
+
+
 def _nth(df: DataFrame, position: int) -> Column | None:
-    """The column at a 1-based position, or None where the table is narrower."""
-    return col(df.columns[position - 1]) if len(df.columns) >= position else None
+    """The vendor's column at a 1-based position, or None where the table is narrower."""
+    names = [c for c in df.columns if c not in ADDED]
+    return col(names[position - 1]) if len(names) >= position else None
 
 
 def _not_failed(df: DataFrame) -> Column:
@@ -84,7 +89,7 @@ DIALECTS = {
 
 
 def normalize(df: DataFrame, dialect: str) -> DataFrame:
-    """Project a vendor table onto the canonical columns; unknown dialects and names raise."""
+    """Project a vendor table onto the canonical columns and those a scan added; unknown dialects and names raise."""
     if dialect not in DIALECTS:
         raise ValueError(f"unknown dialect {dialect!r}; known: {', '.join(DIALECTS)}")
     rule = DIALECTS[dialect]
@@ -98,4 +103,4 @@ def normalize(df: DataFrame, dialect: str) -> DataFrame:
         source = rule.columns.get(name, name)
         value = col(source) if isinstance(source, str) else source(df)
         out.append(value.alias(name))
-    return df.select(*out)
+    return df.select(*out, *[c for c in ADDED if c in df.columns])

@@ -5,8 +5,9 @@ block being listed in every bin it touches, so the join is an equi-join on (chr,
 range as a residual. Spark broadcasts the blocks when their size allows and otherwise sorts both
 sides, where adaptive execution splits a hot bin.
 
-The blocks of a chain cover a source base at most once (``overlapping_blocks`` verifies it), so a
-row finds one block at most and needs no regrouping afterwards.
+The blocks of a chain must cover a source base at most once, so that a row finds one block at most
+and needs no regrouping afterwards. Blocks that overlap share a bin, where the join's side of
+blocks checks it and fails the job.
 """
 
 from __future__ import annotations
@@ -39,6 +40,10 @@ def liftover(df: DataFrame, chain: DataFrame, ref_bases: DataFrame | None = None
         F.col("chr").alias("_chr"), "src_start", "src_end", "dst_chr", "dst_start", "strand",
         F.explode(F.sequence(F.expr(f"src_start div {BIN_WIDTH}"),
                              F.expr(f"(src_end - 1) div {BIN_WIDTH}"))).alias("_bin"))
+    before = Window.partitionBy("_chr", "_bin").orderBy("src_start", "src_end").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_end", F.max("src_end").over(before)).withColumn("src_start", F.when(
+        F.col("src_start") < F.col("_end"), F.raise_error(F.lit("blocks of the chain overlap")).cast("bigint")
+    ).otherwise(F.col("src_start"))).drop("_end")
     start = F.col("pos") - 1
     joined = df.withColumn("_pbin", F.expr(f"(pos - 1) div {BIN_WIDTH}")).join(
         blocks, (F.col("chr") == F.col("_chr")) & (F.col("_pbin") == F.col("_bin"))

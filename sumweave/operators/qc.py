@@ -96,7 +96,7 @@ def qc_report(df: DataFrame, columns: dict[str, str], n_fields: Column, by: str
 
 def require_square(report: DataFrame) -> DataFrame:
     """Pass the report through; fail the job for a study that is not square or misses chromosomes."""
-    problem = (F.when(~F.col("is_square"), "file not square")
-               .when(~F.col("enough_chroms"), "less than 22 chromosomes"))
+    problem = (F.when(~F.col("is_square"), "lines of the study differ in their number of fields")
+               .when(~F.col("enough_chroms"), "the study has rows of fewer than 22 chromosomes"))
     checked = F.when(problem.isNotNull(), F.raise_error(problem)).otherwise(F.col("n_after"))
     return report.withColumn("n_after", checked.cast("bigint"))

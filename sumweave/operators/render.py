@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from sumweave.functions.alleles import variant_id
 from sumweave.functions.values import or_na, scientific
 from sumweave.operators.meta import RESULT
+from sumweave.sources.config import EXTRA
 
 STUDY_COLUMNS = {"beta": "beta", "sebeta": "se", "pval": "pval", "af_alt": "af_alt", "INFO": "info", "Nsamples": "n"}
 META_NAMES = dict(zip(RESULT, ["meta_beta", "meta_sebeta", "meta_p", "meta_Ncases", "meta_Ncontrols",
@@ -63,7 +64,7 @@ def to_wide(results: DataFrame, studies: Sequence[tuple[int, str]], methods: Seq
     for i, (o, name) in enumerate(studies):
         row = _study_row(o)
         out += [row[field].alias(f"{name}_{column}") for column, field in STUDY_COLUMNS.items()]
-        out += [row[c].alias(f"{name}_{c}") for c in extra_cols]
+        out += [row[EXTRA + c].alias(f"{name}_{c}") for c in extra_cols]
         if pairwise_with_first and i > 0:
             for method in methods:
                 out += _stat_columns(f"{studies[0][1]}_{name}", method, result(f"pair_{o}", method), het, "meta_het_p")

@@ -14,6 +14,7 @@ from sumweave.queries import fixtures as fx
 from sumweave.queries.base import (
     key_sql, mlog10, query, reversed_sql, rnd, sql_chi2, sql_mlog10, sql_p, sql_rnd, sql_z,
 )
+from sumweave.session import scratch_path
 
 KEY = ["chr", "pos", "ref", "alt", "occ"]
 KEYS = ", ".join(KEY)
@@ -196,7 +197,7 @@ def meta_by_subset(spark, sf):
 
 
 @query("extra_cols", f"""
-    SELECT {KEYS}, max(CASE WHEN p.study_ord = 0 THEN x END) AS S0_EUR_x, max(CASE WHEN p.study_ord = 1 THEN x END) AS S1_FIN_x
+    SELECT {KEYS}, {", ".join(f"max(CASE WHEN p.study_ord = {o} THEN x END) AS {name}_x" for o, name in STUDIES)}
     FROM (SELECT chr, pos, aref AS ref, aalt AS alt, occ, study_ord, 'r' || n AS x FROM
       (SELECT * FROM pick0 UNION ALL SELECT * FROM pick1 UNION ALL SELECT * FROM pick2 UNION ALL SELECT * FROM pick3)) p
     GROUP BY {KEYS}""", ("pick0", "pick1", "pick2", "pick3"))
@@ -204,7 +205,7 @@ def extra_cols(spark, sf):
     rows = fx.munged(spark, sf).withColumn("x", F.concat(F.lit("r"), F.col("n").cast("string")))
     g = al.align_groups(rows)
     one = lambda o: F.get(F.filter("members", lambda m: m["study_ord"] == o), 0)["x"]
-    return g.select(*KEY, one(0).alias("S0_EUR_x"), one(1).alias("S1_FIN_x"))
+    return g.select(*KEY, *[one(o).alias(f"{name}_x") for o, name in STUDIES])
 
 
 def wide(spark, sf) -> DataFrame:
@@ -306,11 +307,13 @@ def sample_af(spark, sf):
 
 
 @query("combine_chroms", f"""
-    WITH {_ALL_SQL} SELECT {KEYS}, n_samples FROM all_res WHERE chr IN (1, 2, 23)""", ("aligned",))
+    WITH {_ALL_SQL} SELECT {KEYS}, n_samples FROM all_res WHERE chr BETWEEN 1 AND 24""", ("aligned",))
 def combine_chroms(spark, sf):
-    g = groups(spark, sf)
-    parts = [mt.meta(g, chrom=c).select(*KEY, "n_samples") for c in (1, 2, 23)]
-    return annotate.combine(parts)
+    # The parts are files of one chromosome each, which one job wrote.
+    path = scratch_path(spark, "chroms")
+    mt.meta(groups(spark, sf)).select(*KEY, "n_samples").write.partitionBy("chr").parquet(path)
+    whole = spark.read.parquet(path)
+    return annotate.combine([whole.filter(F.col("chr") == c).select(*KEY, "n_samples") for c in range(1, 25)])
 
 
 @query("one_chrom", "SELECT study_ord, chr, pos, ref, alt, n FROM munged WHERE chr = 21", ("munged",))

@@ -40,15 +40,15 @@ def scan_mapped(spark, sf):
     return df.select("chr", F.col("pos").cast("bigint").alias("pos"), F.col("effect").cast("double").alias("effect"))
 
 
-@query("scan_reference", "SELECT pop, chr, pos, ref, alt, af, filter_, an FROM fx_reference WHERE pop = 'fin'", ("fx_reference",))
+@query("scan_reference", "SELECT pop, chr, pos, ref, alt, af, filter_, an FROM fx_reference", ("fx_reference",))
 def scan_reference(spark, sf):
     path = scratch_path(spark, "reference")
     fx.reference(spark, sf).write.partitionBy("pop").parquet(path)
-    return delimited.scan_reference(spark, path).filter("pop = 'fin'").select(
+    return delimited.scan_reference(spark, path).select(
         "pop", "chr", "pos", "ref", "alt", "af", "filter_", "an")
 
 
-@query("scan_sites", "SELECT chr::VARCHAR AS chrom, pos, id, ref, alt_list FROM fx_rsid", ("fx_rsid",))
+@query("scan_sites", "SELECT chr::VARCHAR AS chrom, CASE WHEN chr <= 24 THEN chr END AS chr, pos, id, ref, alt_list FROM fx_rsid", ("fx_rsid",))
 def scan_sites(spark, sf):
     path = scratch_path(spark, "sites")
     sites = fx.rsid(spark, sf).select(
@@ -96,12 +96,11 @@ def inventory(spark, sf):
     return listed.agg(F.count_distinct(folder).alias("n"))
 
 
-@query("write_indexed", "SELECT chr, pos, ref, alt, n FROM munged WHERE chr = 21 AND pos BETWEEN 10000 AND 100000", ("munged",))
+@query("write_indexed", "SELECT chr, pos, ref, alt, n FROM munged", ("munged",))
 def write_indexed(spark, sf):
     path = scratch_path(spark, "indexed")
     sinks.write_indexed(fx.munged(spark, sf).select("chr", "pos", "ref", "alt", "n"), path)
-    return delimited.scan_result(spark, path, ["chr", "pos", "ref", "alt", "n"]).filter(
-        (F.col("chr") == 21) & F.col("pos").between(10_000, 100_000))
+    return delimited.scan_result(spark, path, ["chr", "pos", "ref", "alt", "n"])
 
 
 @query("scan_shortlist", "SELECT snp FROM fx_shortlist", ("fx_shortlist",))

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sumweave.functions.values import plot_chrom
+from sumweave.functions.values import chrom_code, plot_chrom
 
 # Header of a sites file.
 SITES_HEADER = ["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO"]
@@ -22,40 +22,41 @@ def read_header(spark: SparkSession, path: str, sep: str = r"\s+", skip: str = "
     return re.split(sep, line["value"].strip() if sep == r"\s+" else line["value"])
 
 
-def scan_study(spark: SparkSession, path: str, columns: dict[str, str] | None = None,
-               tab_only: bool = True) -> DataFrame:
+def scan_study(spark: SparkSession, path: str, columns: dict[str, str] | Sequence[tuple[str, str]] | None = None,
+               tab_only: bool = True, count_fields: bool = False) -> DataFrame:
     """Study rows as text columns named by the header, plus ``file_order``.
 
     Plain or gzip by extension; a ``.bgz`` file must be copied to ``.gz`` once, as the codec is
     chosen by extension. Compressed text is not splittable: convert it to Parquet once
-    (:func:`sumweave.sources.sinks.write_indexed`) and read that. ``tab_only=False`` splits on any
-    run of blanks. ``columns`` renames header names and selects only them; a missing name raises
-    before any job runs on the data. ``file_order`` is (block start, row number), which increases
-    along each file however its blocks are scheduled.
+    (:func:`sumweave.sources.sinks.write_indexed`) and read that. Fields are cut at tabs, or with
+    ``tab_only=False`` at any run of blanks; quotes are ordinary characters. ``columns`` gives (header
+    name, new name) pairs and selects only them, one header as often as it has roles; a missing name
+    raises before any job runs on the data. A line of too few fields has NULLs; ``count_fields`` adds
+    ``n_fields``, the true number of each line, for the check that a file is square. ``file_order``
+    is (block start, row number), which increases along each file however its blocks are scheduled.
     """
     place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-    if tab_only:
-        header = read_header(spark, path, "\t")
-        schema = ", ".join(f"`{name}` string" for name in header)
-        raw = spark.read.schema(schema).csv(path, sep="\t", header=True, nullValue="", enforceSchema=True)
-        table = raw.select(*[F.col(f"`{n}`") for n in header], place.alias("file_order"))
-    else:
-        header = read_header(spark, path)
-        lines = spark.read.text(path).select(F.trim("value").alias("_line"), place.alias("file_order"))
-        fields = lines.filter(F.col("_line") != F.lit("")).withColumn("_f", F.split("_line", r"\s+"))
-        # The header line may sit in any split: it is the one whose fields are the names.
-        body = fields.filter(F.col("_f") != F.array(*[F.lit(n) for n in header]))
-        table = body.select(*[F.get("_f", F.lit(i)).alias(n) for i, n in enumerate(header)], "file_order")
-    if columns is None:
-        return table
-    missing = [c for c in columns if c not in header]
+    sep = "\t" if tab_only else r"\s+"
+    header = read_header(spark, path, sep)
+    lines = spark.read.text(path).select((F.col("value") if tab_only else F.trim("value")).alias("_line"), place.alias("file_order"))
+    fields = lines.filter(F.col("_line") != F.lit("")).select("file_order", F.split("_line", sep).alias("_f"))
+    # The header line may sit in any split: it is the one whose fields are the names.
+    body = fields.filter(F.col("_f") != F.array(*[F.lit(n) for n in header]))
+    pairs = [(n, n) for n in header] if columns is None else list(columns.items() if isinstance(columns, dict) else columns)
+    missing = [c for c, _ in pairs if c not in header]
     if missing:
         raise ValueError(f"{path} lacks column(s) {', '.join(missing)}")
-    return table.select(*[F.col(f"`{c}`").alias(new) for c, new in columns.items()], "file_order")
+    field = lambda name: F.nullif(F.get("_f", F.lit(header.index(name))), F.lit(""))
+    extra = [F.size("_f").alias("n_fields")] if count_fields else []
+    return body.select(*[field(c).alias(new) for c, new in pairs], *extra, "file_order")
 
 
 def scan_sites(spark: SparkSession, path: str) -> DataFrame:
-    """A sites file: ``##`` lines are skipped and the eight-column header is required."""
+    """A sites file: ``##`` lines are skipped and the eight-column header is required.
+
+    ``chrom`` is as written, ``chr`` its number (NULL for other sequences), so the result can be
+    given to :func:`sumweave.operators.annotate.add_rsids`.
+    """
     found = spark.read.text(path).filter(F.col("value").startswith("#") & ~F.col("value").startswith("##")).first()
     header = found["value"].split("\t") if found else None
     if header != SITES_HEADER:
@@ -63,7 +64,7 @@ def scan_sites(spark: SparkSession, path: str) -> DataFrame:
     place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
     lines = spark.read.text(path).select("value", place.alias("seq")).filter(~F.col("value").startswith("#"))
     f = F.split("value", "\t")
-    return lines.select(f[0].alias("chrom"), f[1].cast("bigint").alias("pos"), f[2].alias("id"), f[3].alias("ref"),
+    return lines.select(f[0].alias("chrom"), chrom_code(f[0]).alias("chr"), f[1].cast("bigint").alias("pos"), f[2].alias("id"), f[3].alias("ref"),
                         f[4].alias("alt_list"), "seq")
 
 

@@ -4,7 +4,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from sumweave.operators.annotate import add_rsids
+from sumweave.operators.liftover import liftover
 from sumweave.operators.runlog import status_counts, tree_roots, workflow_failures, workflow_summary, workflow_totals
+from sumweave.plans.format import Entry, format_studies
 from sumweave.plans.meta import finish, run_meta
 from sumweave.plans.munge import clean, munge
 from sumweave.sources import config, delimited, runs, sinks
@@ -71,7 +74,7 @@ def test_config_table_checks_types(spark, tmp_path):
     rows = config.scan_config(spark, str(tmp_path)).orderBy("study_ord").collect()
     assert [(r.pheno, r.name, r.n_controls, r.effect_type) for r in rows] == [("P1", "A", 1000, "beta"), ("P1", "B", 1000, "or")]
     (tmp_path / "P1.json").write_text(json.dumps({"meta": [entry("A", "a", effect_type="hr")]}))
-    with pytest.raises(Exception, match="effect_type"):
+    with pytest.raises(Exception, match="no kind of effect"):
         config.scan_config(spark, str(tmp_path)).collect()
 
 
@@ -162,3 +165,71 @@ def test_roots_of_deep_trees(spark):
     chain = [(i, i - 1 if i else None) for i in range(50)] + [(60, 55)]
     roots = tree_roots(spark.createDataFrame(chain, "run_id long, parent_id long"))
     assert {tuple(r) for r in roots.collect()} == {(i, 0) for i in range(50)} | {(60, 55)}
+
+def _vendor_line(sep, *fields):
+    return sep.join(str(f) for f in fields)
+
+
+def vendor_files(tmp_path, chroms=range(1, 24), ragged=False):
+    """The same rows in three dialects: plain, REGENIE with thirteen columns, and blank-separated."""
+    rows = [(c, 100 + i, "A", "G", 0.25, 0.9, 0.5 if i else -0.25, 0.125, 0.01, 1000) for c in chroms for i in range(2)]
+    names = "CHR POS Allele1 Allele2 AF_Allele2 imputationInfo BETA SE p.value N".split()
+    body = [_vendor_line("\t", *names)] + [_vendor_line("\t", *r) for r in rows]
+    if ragged:
+        body[5] += '\t"more'
+    (tmp_path / "saige.txt").write_text("\n".join(body) + "\n")
+    regenie = "CHROM GENPOS ID ALLELE0 ALLELE1 A1FREQ INFO N TEST BETA SE CHISQ LOG10P".split()
+    lines = [_vendor_line("\t", c, p, f'"{c}', a, b, f, i, n, "ADD", be, se, 1, 2) for c, p, a, b, f, i, be, se, _, n in rows]
+    (tmp_path / "regenie.txt").write_text("\n".join([_vendor_line("\t", *regenie), *lines]) + "\n")
+    exceed = [{"POS": "BP", "p.value": "P"}.get(n, n) for n in names]
+    (tmp_path / "exceed.txt").write_text("\n".join([_vendor_line("  ", *exceed)] + [_vendor_line(" ", *r) for r in rows]) + "\n")
+    return [Entry(0, str(tmp_path / "saige.txt"), "SAIGE", "nfe"), Entry(1, str(tmp_path / "regenie.txt"), "REGENIE", "fin"),
+            Entry(2, str(tmp_path / "exceed.txt"), "EXCEED", "afr", tab_only=False)], rows
+
+
+def test_vendor_files_to_clean_rows(spark, tmp_path):
+    entries, rows = vendor_files(tmp_path)
+    cleaned = clean(format_studies(spark, entries), gated=True).collect()
+    expected = {(o, pop, c, p, a, b, be, n) for o, pop in enumerate(["nfe", "fin", "afr"]) for c, p, a, b, _, _, be, _, _, n in rows}
+    assert {(r.study_ord, r["pop"], r.chr, r.pos, r.ref, r.alt, r.beta, r.n) for r in cleaned} == expected
+    assert len(cleaned) == 3 * len(rows) and all(abs(r.pval - 0.01) < 1e-9 for r in cleaned)
+
+
+def test_gates_fail_the_job(spark, tmp_path):
+    entries, _ = vendor_files(tmp_path, ragged=True)
+    with pytest.raises(Exception, match="number of fields"):
+        clean(format_studies(spark, entries), gated=True).count()
+    entries, _ = vendor_files(tmp_path, chroms=range(1, 5))
+    with pytest.raises(Exception, match="fewer than 22"):
+        clean(format_studies(spark, entries), gated=True).count()
+
+
+def test_quotes_are_ordinary_and_fields_are_counted(spark, tmp_path):
+    (tmp_path / "q.txt").write_text('a\tb\tc\n"x\t1\t\n"y"\t2\n')
+    got = {(r.a, r.b, r.c, r.n_fields) for r in delimited.scan_study(spark, str(tmp_path / "q.txt"), count_fields=True).collect()}
+    assert got == {('"x', "1", None, 3), ('"y"', "2", None, 2)}
+
+
+def test_one_header_in_two_roles(spark, tmp_path):
+    studies = [("A", 10), ("B", 11)]
+    for name, pos in studies:
+        line = ["1", str(pos), "A", "G", "0.2", "0.9", "0.5", "0.1", "0.01", "77", "e"]
+        (tmp_path / f"{name}.txt").write_text("\t".join(HEADER) + "\n" + "\t".join(line) + "\n")
+    configs = config.parse_config(json.dumps({"meta": [entry(n, tmp_path / f"{n}.txt", extra_cols=["N", "extra"], Nsamples="N") for n, _ in studies]}))
+    out = {r.POS: r for r in run_meta(spark, configs).collect()}
+    assert (out[10]["A_N"], out[10]["A_Nsamples"], out[10]["A_extra"], out[10]["B_N"]) == ("77", 77, "e", None)
+
+
+def test_overlapping_blocks_fail_the_job(spark):
+    chain = spark.createDataFrame([(1, 0, 100, 1, 0, "+"), (1, 50, 150, 1, 500, "+")],
+                                  "chr int, src_start bigint, src_end bigint, dst_chr int, dst_start bigint, strand string")
+    df = spark.createDataFrame([(1, 60, "A", "G")], "chr int, pos bigint, ref string, alt string")
+    with pytest.raises(Exception, match="overlap"):
+        liftover(df, chain).collect()
+
+
+def test_sites_file_gives_rsids(spark, tmp_path):
+    (tmp_path / "s.vcf").write_text("##x\n" + "\t".join(delimited.SITES_HEADER) + "\nX\t5\trs1\tA\tC,G\t.\t.\t.\n")
+    df = spark.createDataFrame([(23, 5, "A", "G"), (23, 5, "A", "T")], "chr int, pos bigint, ref string, alt string")
+    named = add_rsids(df, delimited.scan_sites(spark, str(tmp_path / "s.vcf"))).collect()
+    assert {(r.alt, r.rsid) for r in named} == {("G", "rs1"), ("T", "NA")}
