@@ -40,36 +40,50 @@ def global_rank(df: DataFrame, group: str, value: str, ties: Sequence[str]) -> D
     return joined.select(*df.columns, (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("rank"), "n")
 
 
-def lambda_gc(long: DataFrame, quantiles: Sequence[float] = QUANTILES, ties: Sequence[str] = ("chr", "pos")) -> DataFrame:
+#: Bins per halving of p, in which order statistics are looked for.
+BINS = 256
+
+
+def lambda_gc(long: DataFrame, quantiles: Sequence[float] = QUANTILES) -> DataFrame:
     """Observed over expected chi-square per p-value column and quantile, three decimals.
 
-    The quantile is interpolated between order statistics. Chi-square falls as p rises, so the
-    order statistics are picked by rank of p, and only those few rows are transformed.
+    The quantile is interpolated between order statistics. Chi-square falls as p rises, so these are
+    picked by p, from the largest down, without sorting the rows: counts per bin of -log p tell
+    which few bins hold the wanted places, and only the distinct values of those are put in order.
     """
-    ranked = global_rank(long.filter(F.col("pval").isNotNull()), "p_col", "pval", ties)
+    rows = long.filter(F.col("pval").isNotNull()).select("p_col", "pval").withColumn(
+        "_bin", F.when(F.col("pval") > 0, F.floor(-F.log2("pval") * BINS)).otherwise(1 << 20))
+    # One row per column and bin, whatever the number of rows.
+    bins = rows.groupBy("p_col", "_bin").agg(F.count("*").alias("_n"))
+    whole = Window.partitionBy("p_col")
+    bins = bins.select("p_col", "_bin", F.sum("_n").over(whole).alias("n"), F.col("_n"),
+                       (F.sum("_n").over(whole.orderBy("_bin")) - F.col("_n")).alias("_before"))
     wanted = F.explode(F.array(*[F.struct(F.lit(q).alias("quantile"), F.lit(chi2_quantile_1df(q)).alias("expected"))
                                  for q in quantiles]))
-    # Position from the largest p down: 0-based h = (n - 1) q between floor(h) and floor(h) + 1.
-    place = F.col("n") - F.col("rank")
-
-    def at(q: float):
-        h = (F.col("n") - 1) * q
-        return (place == F.floor(h)) | (place == F.floor(h) + 1)
-
-    near = at(quantiles[0])
-    for q in quantiles[1:]:
-        near = near | at(q)
-    picked = ranked.filter(near).select("p_col", "n", place.alias("_place"), F.col("pval"), wanted.alias("_q"))
     h = (F.col("n") - 1) * F.col("_q.quantile")
     low = F.floor(h)
+
+    def holds(place, first, size):
+        return (place >= first) & (place < first + size)
+
+    wanted = bins.select("*", wanted.alias("_q")).filter(
+        holds(low, F.col("_before"), F.col("_n")) | holds(low + 1, F.col("_before"), F.col("_n"))).drop("_n")
+    # Two bins per column and quantile at most.
+    values = rows.join(F.broadcast(wanted.select("p_col", "_bin").distinct()), ["p_col", "_bin"]).groupBy(
+        "p_col", "_bin", "pval").agg(F.count("*").alias("_size"))
+    down = Window.partitionBy("p_col", "_bin").orderBy(F.desc("pval"))
+    values = values.withColumn("_from", F.sum("_size").over(down) - F.col("_size"))
+    first = F.col("_before") + F.col("_from")
+    picked = values.join(F.broadcast(wanted), ["p_col", "_bin"]).filter(
+        holds(low, first, F.col("_size")) | holds(low + 1, first, F.col("_size")))
     chi2 = F.pow(z_from_p(F.col("pval")), F.lit(2.0))
-    return (picked.withColumn("_chi2", chi2).filter((F.col("_place") == low) | (F.col("_place") == low + 1))
-            .groupBy("p_col", F.col("_q.quantile").alias("quantile"), F.col("_q.expected").alias("_expected"),
-                     (h - low).alias("_weight"))
-            .agg(F.max_by("_chi2", -F.col("_place")).alias("_low"), F.max_by("_chi2", "_place").alias("_high"))
-            .select("p_col", "quantile",
-                    F.round((F.col("_low") + F.when(F.col("_weight") > 0, F.col("_weight") * (F.col("_high") - F.col("_low")))
-                             .otherwise(0.0)) / F.col("_expected"), 3).alias("lambda")))
+    ends = (picked.withColumn("_chi2", chi2).withColumn("_first", first)
+            .groupBy("p_col", F.col("_q.quantile").alias("quantile"), F.col("_q.expected").alias("_expected"), (h - low).alias("_weight"))
+            .agg(F.max(F.when(holds(low, F.col("_first"), F.col("_size")), F.col("_chi2"))).alias("_low"),
+                 F.max(F.when(holds(low + 1, F.col("_first"), F.col("_size")), F.col("_chi2"))).alias("_high")))
+    return ends.select("p_col", "quantile", F.round(
+        (F.col("_low") + F.when(F.col("_weight") > 0, F.col("_weight") * (F.col("_high") - F.col("_low"))).otherwise(0.0))
+        / F.col("_expected"), 3).alias("lambda"))
 
 
 def lambda_text(lambdas: DataFrame) -> DataFrame:
@@ -96,7 +110,7 @@ def manhattan(long: DataFrame, loglog: float = 10.0, p_max: float = 0.01) -> Dat
     """Manhattan points with p below ``p_max``, placed along the genome, plain and log-log.
 
     ``chr`` must be numeric. A chromosome starts where the one before ends, at its largest position
-    among the plotted points: a sum over one row per chromosome.
+    among the plotted points: a sum over one row per chromosome and column, which every task gets.
     """
     points = long.filter((F.col("pval") < p_max) & (F.col("pval") > 0) & F.col("chr").isNotNull())
     ends = points.groupBy("p_col", "chr").agg(F.max("pos").alias("_end"))
@@ -104,7 +118,7 @@ def manhattan(long: DataFrame, loglog: float = 10.0, p_max: float = 0.01) -> Dat
     starts = ends.select("p_col", "chr", F.coalesce(F.sum("_end").over(w), F.lit(0)).alias("_start"))
     logs = -F.log10("pval")
     scaled = F.when(logs < loglog, logs).otherwise(loglog * F.log10(logs) / math.log10(loglog))
-    return (points.join(starts, ["p_col", "chr"])
+    return (points.join(F.broadcast(starts), ["p_col", "chr"])
             .select("p_col", "chr", "pos", "pval", (F.col("pos") + F.col("_start")).alias("place"),
                     logs.alias("log10p"), scaled.alias("loglog10p"))
             .withColumn("p_scaled", F.pow(F.lit(10.0), -F.col("loglog10p"))))

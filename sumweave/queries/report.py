@@ -43,7 +43,7 @@ _Q = ", ".join(f"({q}, {chi2_quantile_1df(q)!r}e0)" if "e" not in repr(chi2_quan
     i AS (SELECT p_col, unnest(v) AS v, unnest([0.7, 0.5, 0.1, 0.01, 0.001]) AS quantile FROM c)
     SELECT p_col, i.quantile::DOUBLE AS quantile, round(v / expected, 3) AS lambda FROM i JOIN e ON i.quantile = e.quantile""", ("munged",))
 def lambda_gc(spark, sf):
-    return qcdata.lambda_gc(long_table(spark, sf), ties=("chr", "pos", "file_order"))
+    return qcdata.lambda_gc(long_table(spark, sf))
 
 
 @query("qq_points", f"""
