@@ -57,7 +57,9 @@ def align_groups(df: DataFrame, by: Sequence[str] = (), order: str = "file_order
     row = F.struct("study_ord", F.col(order).alias("_order"),
                    spelling_code(F.col("ref"), F.col("alt"), F.col("_key")).alias("_spelling"),
                    "ref", "alt", *payload)
-    grouped = keyed.groupBy("pos", "chr", "_key", *by).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    # Dealt by position only: every later grouping by variant, that of the wide table too, finds its
+    # rows together and needs no further shuffle.
+    grouped = keyed.repartition("pos", "chr", *by).groupBy("pos", "chr", "_key", *by).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
     slots = grouped.select(*by, "chr", "pos", F.posexplode(_slots()).alias("occ", "_members"))
     return (slots.withColumn("_anchor", F.col("_members")[0])
             .select(*by, "chr", "pos", F.col("_anchor.ref").alias("ref"), F.col("_anchor.alt").alias("alt"),

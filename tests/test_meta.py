@@ -229,3 +229,12 @@ def test_subsets_beyond_one_word(spark):
     out = {r.family: r for r in meta(g, subsets=list(rules), everything=False).collect()}
     assert len(out) == 70 and out["subset_s65"].beta == pytest.approx(0.2) and out["subset_s65"].n_studies == 1
     assert out["subset_s69"].beta == pytest.approx(0.05) and out["subset_s69"].n_studies == 2
+
+
+def test_wide_table_needs_no_shuffle_after_the_alignment(spark):
+    from sumweave.queries import meta as queries
+
+    plan = queries.wide(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    # Of the rows: one for duplicates, one for the alignment. The third and fourth make the study list.
+    assert plan.count("Exchange hashpartitioning(pos") == 2
+    assert "Exchange hashpartitioning(chr" not in plan
