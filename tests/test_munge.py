@@ -162,7 +162,7 @@ def test_quality_filter(spark):
 
 def test_square_gate(spark):
     report = spark.createDataFrame([(0, 5, True, False)], "study_ord int, n_after bigint, is_square boolean, enough_chroms boolean")
-    with pytest.raises(Exception, match="less than 22 chromosomes"):
+    with pytest.raises(Exception, match="fewer than 22 chromosomes"):
         qc.require_square(report).collect()
 
 
