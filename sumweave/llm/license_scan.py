@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, StringIndexer
@@ -69,28 +68,39 @@ def words(line: Column) -> Column:
     return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+"), "")
 
 
-def grams(w: Column) -> Column:
-    """The distinct n-grams of an array of words that hold a cue."""
+def cue_places(w: Column) -> Column:
+    """Positions of the cue words in an array of words."""
     cues = F.array(*[F.lit(c) for c in CUES])
-    parts = []
-    for n in range(1, GRAM + 1):
-        at = F.when(F.size(w) >= n, F.sequence(F.lit(0), F.size(w) - n)).otherwise(F.array().cast("array<int>"))
-        held = F.filter(at, lambda i: reduce(lambda a, b: a | b, [F.array_contains(cues, F.get(w, i + j)) for j in range(n)]))
-        parts.append(F.transform(held, lambda i: F.array_join(F.slice(w, i + 1, n), " ")))
-    return F.array_distinct(F.concat(*parts))
+    return F.filter(F.transform(w, lambda x, i: F.when(F.array_contains(cues, x), i)), lambda i: i.isNotNull())
+
+
+def with_grams(df: DataFrame, keep: list[str]) -> DataFrame:
+    """keep and grams, the distinct n-grams that hold a cue, of the array column w.
+
+    The places of the cues are a column of their own, and an n-gram is put together from single words:
+    its cost then depends on the number of cues, not on the length of the line.
+    """
+    placed = df.select(*keep, "w", cue_places(F.col("w")).alias("at"))
+
+    def of(n: int) -> Column:
+        def around(q: Column) -> Column:
+            low, high = F.greatest(q - (n - 1), F.lit(0)), F.least(q, F.size("w") - n)
+            return F.when(low <= high, F.sequence(low, F.greatest(high, low))).otherwise(F.array().cast("array<int>"))
+        starts = F.array_distinct(F.flatten(F.transform("at", around)))
+        return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get("w", i + j) for j in range(n)]))
+
+    return placed.select(*keep, F.array_distinct(F.concat(*[of(n) for n in range(1, GRAM + 1)])).alias("grams"))
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, paragraph, grams): the lines of each text that hold a cue word, numbered from 0 among all its lines."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     lines = texts.select("doc_id", F.posexplode(F.split("text", "\r\n?|\n")).alias("paragraph", "line"))
-    # A search for bytes comes before the costlier split into words, which then decides.
-    lines = lines.select("doc_id", "paragraph", F.lower("line").alias("line")).where(
-        reduce(lambda a, b: a | b, [F.contains(F.col("line"), F.lit(c)) for c in CUES]))
-    # The words are a column of their own first, or the line would be split anew for every n-gram.
+    # The words are a column of their own first, or the line would be split anew for every n-gram. (A filter on the n-grams
+    # would be pushed below this column and do just that.)
     lines = lines.select("doc_id", "paragraph", words(F.col("line")).alias("w")).where(
         F.arrays_overlap("w", F.array(*[F.lit(c) for c in CUES])))
-    return lines.select("doc_id", "paragraph", grams(F.col("w")).alias("grams"))
+    return with_grams(lines, ["doc_id", "paragraph"])
 
 
 def template_frame(spark: SparkSession) -> DataFrame:
@@ -105,8 +115,7 @@ def training_frame(spark: SparkSession) -> DataFrame:
     shown = template_frame(spark).select("family", words(F.col("line")).alias("w"), F.explode(F.sequence(F.lit(0), F.lit(8))).alias("cut"))
     front, back = F.col("cut") % 3, (F.col("cut") / 3).cast("int")
     kept = F.slice("w", front + 1, F.greatest(F.size("w") - front - back, F.lit(1)))
-    shown = shown.select("family", "cut", kept.alias("w"))
-    return shown.select("family", "cut", grams(F.col("w")).alias("grams")).where("size(grams) > 0")
+    return with_grams(shown.select("family", "cut", kept.alias("w")), ["family", "cut"]).where("size(grams) > 0")
 
 
 def fit(spark: SparkSession) -> Model:
@@ -150,7 +159,7 @@ def scan(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     """
     model = fit(spark)
     keys = ["doc_id", "paragraph"]
-    lines = paragraphs(docs, id_col, text_col).where("size(grams) > 0").dropDuplicates([*keys, "grams"])
+    lines = paragraphs(docs, id_col, text_col).dropDuplicates([*keys, "grams"])
     found = logits(lines, model, [*keys, "grams"])
     shifted = F.transform("logits", lambda x: F.exp((x - F.array_max("logits")) / model.temperature))
     best = F.array_max(F.transform("shifted", lambda x, i: F.struct(x.alias("x"), (-i).alias("i"))))
@@ -159,8 +168,8 @@ def scan(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
         *keys, "grams", best["i"].alias("i"), (F.col("known") * best["x"] / F.aggregate("shifted", F.lit(0.0), lambda a, b: a + b)).alias("probability"))
     names = F.array(*[F.lit(f) for f in model.families])
     found = found.select(*keys, "grams", "probability", F.when(F.col("probability") < KNOWN, F.lit("unknown")).otherwise(F.get(names, -F.col("i"))).alias("family"))
-    templates = template_frame(spark).where("family <> 'none'").select("family", words(F.col("line")).alias("w")).select(
-        "family", grams(F.col("w")).alias("t")).groupBy("family").agg(F.collect_list("t").alias("templates"))
+    templates = with_grams(template_frame(spark).where("family <> 'none'").select("family", words(F.col("line")).alias("w")), ["family"])
+    templates = templates.groupBy("family").agg(F.collect_list("grams").alias("templates"))
     found = found.join(F.broadcast(templates), "family", "left")  # one row per family
     similarity = F.coalesce(F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("grams"))) / F.size(t))), F.lit(0.0))
     return found.select(*keys, "family", F.round("probability", 6).alias("probability"), F.round(similarity, 6).alias("similarity"),
