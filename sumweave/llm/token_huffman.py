@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import os
+import string
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from sumweave.llm.exchange import saved
 
@@ -32,22 +33,32 @@ CHUNK_CHARS, REMEMBERED = 2 << 20, 400_000
 #: Words of a line handed to the tokenizer.
 LINE_WORDS = 200
 
-_TAIL = ".,;:!?"
+#: Marks that end a word without being part of a contraction.
+_TAIL = string.punctuation.replace("'", "")
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str) -> tuple[Tokenizer, np.ndarray]:
-    """The tokenizer, and which ids end a word."""
+def _tokenizer(path: str) -> tuple[Tokenizer, Tokenizer, np.ndarray]:
+    """The tokenizer, the same without the steps that leave words of composed letters as they are, and which ids end a word."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker per core
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer, simple = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    simple.normalizer = normalizers.Lowercase()
+    simple.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     ends = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
     for token, i in tokenizer.get_vocab().items():
         ends[i] = token.endswith("</w>")
-    return tokenizer, ends
+    return tokenizer, simple, ends
+
+
+def _lasting(word: str) -> bool:
+    """Letters that stay the same letters when composed, and letters when lower-cased."""
+    return unicodedata.is_normalized("NFC", word) and word.lower().isalpha()
 
 
 class WordCache:
-    """Ids of texts by their words: for a tokenizer that drops white space and never joins over it.
+    """Ids of texts by their words: for a tokenizer that composes, lower-cases, drops white space and joins nothing over it or
+    over the border of letters and other characters.
 
     Each word not remembered is encoded once per chunk of text. A word of letters with closing marks
     is encoded as the two; words of letters go to the tokenizer many at once and are told apart by
@@ -55,7 +66,7 @@ class WordCache:
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.ends = _tokenizer(path)
+        self.tokenizer, self.simple, self.ends = _tokenizer(path)
         self.kind = np.dtype("<u2" if len(self.ends) <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {"": b""}
         self.again: set[str] = set()
@@ -65,44 +76,38 @@ class WordCache:
             self.known[text] = np.asarray(got.ids, dtype=self.kind).tobytes()
 
     def _learn(self, words: set[str]) -> None:
-        plain, whole, split = set(), set(), []
-        for word in words:
+        known = self.known
+        plain = {w for w in words if w.isalpha() and (w.isascii() or _lasting(w))}
+        split, whole = [], set()
+        for word in words - plain:
             base = word.rstrip(_TAIL)
-            # Letters only, and still so once composed and lower-cased.
-            if base.isalpha() and (base.isascii() or unicodedata.normalize("NFC", base).lower().isalpha()):
-                plain.add(base)
-                if len(base) < len(word):
-                    whole.add(word[len(base):])
-                    split.append((word, base, word[len(base):]))
+            if base.isalpha() and (base.isascii() or _lasting(base)):
+                split.append((word, base))
             else:
                 whole.add(word)
-        self._each([w for w in whole if w not in self.known])
-        left = [w for w in plain if w not in self.known]
+        plain.update(base for _, base in split)
+        whole.update(word[len(base):] for word, base in split)
+        self._each([w for w in whole if w not in known])
+        left = [w for w in plain if w not in known]
         lines = [left[low:low + LINE_WORDS] for low in range(0, len(left), LINE_WORDS)]
-        for part, got in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
+        for part, got in zip(lines, self.simple.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
             ids = np.asarray(got.ids, dtype=self.kind)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(part) or stops[-1] != len(ids):
                 self._each(part)
                 continue
             data, bounds = ids.tobytes(), (stops * self.kind.itemsize).tolist()
-            self.known.update(zip(part, map(data.__getitem__, map(slice, [0, *bounds[:-1]], bounds))))
-        for word, base, tail in split:
-            self.known[word] = self.known[base] + self.known[tail]
-
-    @staticmethod
-    def _low(text: str) -> str:
-        """Lower-cased where the tokenizer, which composes first, would then see the same."""
-        low = text.lower()
-        if text.isascii() or "\u03a3" not in text and all(unicodedata.is_normalized("NFC", x) for x in (text, low)):
-            return low
-        return text
+            known.update(zip(part, map(data.__getitem__, map(slice, [0, *bounds[:-1]], bounds))))
+        for word, base in split:
+            known[word] = known[base] + known[word[len(base):]]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        split = [self._low(t).replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        # Lower-cased where the tokenizer, which composes first, surely sees the same.
+        split = [(t.lower() if t.isascii() else t).replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         words = set().union(*split)
         new = words - self.known.keys()
-        self.again |= words - new
+        if 2 * len(self.known) > REMEMBERED:
+            self.again |= words - new
         self._learn(new)
         for own in split:
             yield b"".join(map(self.known.__getitem__, own))
@@ -112,11 +117,17 @@ class WordCache:
             self.again = set()
 
 
+@lru_cache(maxsize=1)
+def word_cache(path: str) -> WordCache:
+    """The cache of this worker, kept from task to task."""
+    return WordCache(path)
+
+
 def encoded(docs: DataFrame, path: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids): ids packed as little-endian integers of two bytes (four if the vocabulary needs them),
     with end_id behind each text. A null or empty text has the end id only. Other columns are not read."""
     def run(batches):
-        cache = WordCache(path)
+        cache = word_cache(path)
         end = b"" if end_id is None else np.array([end_id], dtype=cache.kind).tobytes()
 
         def done(ids, texts, first):
@@ -245,10 +256,10 @@ def write_files(spark: SparkSession, ids: DataFrame, folder: str, kind: str, blo
     def count(batches):
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for x in batch.column(0):
-                got = np.bincount(np.frombuffer(x.as_py(), kind))
+            for low in range(0, batch.num_rows, 1000):
+                got = np.bincount(np.frombuffer(b"".join(batch.column(0).slice(low, 1000).to_pylist()), kind))
                 if len(got) > len(total):
-                    total, got = got, total
+                    total, got = got.astype(np.int64), total
                 total[:len(got)] += got
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
