@@ -29,7 +29,7 @@ from sumweave.llm.exchange import saved
 #: Ids of a block, about (a longer document is a block), and ids between checkpoints.
 BLOCK, STRIDE = 1 << 18, 64
 #: Characters of text tokenized together, and words whose ids a worker remembers.
-CHUNK_CHARS, REMEMBERED = 2 << 20, 400_000
+CHUNK_CHARS, REMEMBERED = 2 << 20, 500_000
 #: Words of a line handed to the tokenizer.
 LINE_WORDS = 200
 
