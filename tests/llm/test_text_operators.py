@@ -368,6 +368,24 @@ def test_licences(spark):
     assert license_scan.scan(spark, df.limit(0)).count() == 0
 
 
+def test_licence_lines_without_the_word_licence(spark):
+    lines = {"All rights reserved.": ("proprietary", True), "(c) 2020 Fog Ltd. All Rights Reserved": (None, None),
+             'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED.': ("disclaimer", True),
+             "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;": ("disclaimer", True),
+             "This program is free software: you can redistribute it and/or modify it": ("gpl", True),
+             "This work is in the public domain.": ("public-domain", True), "Released under the WTFPL": ("wtfpl", True),
+             "Licensed under the EUPL": ("eupl", True), "Released under the EPL 2.0": ("epl", True), "Released under the zlib license": ("zlib", True),
+             "ask the office about licensing and the licences": (None, None)}
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_scan.scan(spark, df).collect()}
+    assert set(got) == set(range(len(lines)))
+    for i, (family, confirmed) in enumerate(lines.values()):
+        assert family is None or (got[i]["family"], got[i]["confirmed"]) == (family, confirmed), got[i]
+    prose = "The fog lay over the far kingdom. " * 20
+    out = license_scan.scan(spark, spark.createDataFrame([(1, prose + "All rights reserved. " + prose)], "doc_id long, text string")).collect()
+    assert [(r["family"], r["confirmed"]) for r in out] == [("proprietary", True)]
+
+
 def test_licence_calibration(spark):
     """Held-out variants of the templates: right, and about as sure as they are right."""
     model = license_scan.fit(spark)
