@@ -255,6 +255,81 @@ def post_filter(spark, sf):
         rnd("all_inv_var_meta_beta").alias("all_inv_var_meta_beta"), "all_inv_var_meta_Neffective")
 
 
+# The wide table in full: each family's results as columns, every one of them compared.
+
+_WIDE_CELLS = f"""top AS (SELECT {KEYS}, arg_min(study_ord, (pval, study_ord)) AS o, count(*) AS kk FROM aligned GROUP BY {KEYS}),
+    fam AS (
+      SELECT 'all' AS family, a.* FROM aligned a
+      UNION ALL SELECT 'lmso', a.* FROM aligned a JOIN top t USING ({KEYS}) WHERE a.study_ord <> t.o
+      UNION ALL SELECT 'leave_' || l.study_ord, a.* FROM aligned a JOIN fx_study l ON a.study_ord <> l.study_ord),
+    sums AS ({sql_sums('fam', 'family')}),
+    q AS (SELECT {', '.join('f.' + k for k in KEY)}, f.family, sum(1/(f.se*f.se)*(f.beta - s.wb/s.w)*(f.beta - s.wb/s.w)) AS q
+      FROM fam f JOIN sums s USING ({KEYS}, family) GROUP BY {', '.join('f.' + k for k in KEY)}, f.family),
+    cells AS (SELECT {KEYS}, family, k, n_samples, n_cases, n_controls, n_eff, {sql_rnd('af')} AS af, {sql_rnd('info')} AS info,
+        {sql_rnd('CASE WHEN k > 1 THEN wb/w ELSE b1 END')} AS beta, {sql_rnd('CASE WHEN k > 1 THEN sqrt(1/w) ELSE se1 END')} AS se,
+        {sql_mlog10(f"CASE WHEN k > 1 THEN {sql_p('z')} ELSE p1 END")} AS mlog10p,
+        {sql_rnd(f"CASE WHEN k > 1 THEN {sql_chi2('q', '(k-1)')} END")} AS het
+      FROM (SELECT *, wb/sqrt(w) AS z FROM sums JOIN q USING ({KEYS}, family))),
+    own AS (SELECT {KEYS}, {', '.join(
+        f'max(CASE WHEN study_ord = {o} THEN {value} END) AS "{name}_{column}"' for o, name in STUDIES for column, value in [
+            ('beta', sql_rnd('beta')), ('sebeta', sql_rnd('se')), ('mlog10p', sql_mlog10('pval')), ('af_alt', sql_rnd('af_alt')),
+            ('INFO', sql_rnd('info')), ('Nsamples', 'n')])} FROM aligned GROUP BY {KEYS})"""
+
+
+def _cells_sql(family: str, prefix: str, het: str) -> list[str]:
+    """A family's nine statistics as columns of `cells`, pivoted."""
+    names = {"beta": "meta_beta", "se": "meta_sebeta", "mlog10p": "meta_mlog10p", "n_cases": "meta_Ncases", "n_controls": "meta_Ncontrols",
+             "n_eff": "meta_Neffective", "af": "meta_af_alt", "info": "meta_info", "het": het}
+    return [f"""max(CASE WHEN family = '{family}' THEN {c} END) AS "{prefix}_inv_var_{name}\"""" for c, name in names.items()]
+
+
+def _samples_sql(family: str) -> str:
+    return f"max(CASE WHEN family = '{family}' THEN n_samples END)"
+
+
+_OVERALL_SQL = ["max(CASE WHEN family = 'all' THEN k END) AS all_meta_Nstudies", f"{_samples_sql('all')} AS \"all_meta_Nsamples\"",
+                *_cells_sql("all", "all", "het_p"), f"{_samples_sql('lmso')} AS \"lmso_meta_Nsamples\"", *_cells_sql("lmso", "lmso", "het_p")]
+_LEFT_SQL = [x for o, name in STUDIES for x in (f"coalesce({_samples_sql(f'leave_{o}')}, 0) AS \"leave_{name}_Nsamples\"",
+                                                *_cells_sql(f"leave_{o}", f"leave_{name}", "meta_het_p"))]
+_REMOVED_SQL = f"(SELECT {KEYS}, CASE WHEN kk > 1 THEN study END AS lmso_meta_removed_study_name FROM top JOIN fx_study ON o = study_ord)"
+
+
+def comparable(table: DataFrame) -> DataFrame:
+    """All columns of a wide table, the doubles rounded for comparison and the p-values as -log10."""
+    def one(name: str, kind: str):
+        if kind != "double":
+            return F.col(f"`{name}`")
+        if name.endswith(("_pval", "_meta_p")):
+            return mlog10(F.col(f"`{name}`")).alias(name.removesuffix("pval").removesuffix("_p").rstrip("_") + "_mlog10p")
+        return rnd(F.col(f"`{name}`")).alias(name)
+
+    return table.select(*[one(*x) for x in table.dtypes])
+
+
+@query("wide_table", f"""
+    WITH {_WIDE_CELLS}, pivoted AS (SELECT {KEYS}, {', '.join(_OVERALL_SQL + _LEFT_SQL)} FROM cells GROUP BY {KEYS})
+    SELECT chr AS "#CHR", pos AS POS, ref AS REF, alt AS ALT, chr||':'||pos||':'||ref||':'||alt AS SNP,
+      own.* EXCLUDE ({KEYS}), pivoted.* EXCLUDE ({KEYS}), lmso_meta_removed_study_name
+    FROM own JOIN pivoted USING ({KEYS}) JOIN {_REMOVED_SQL} r USING ({KEYS})""", ("aligned", "fx_study"))
+def wide_table(spark, sf):
+    return comparable(wide(spark, sf))
+
+
+@query("wide_post_filter", f"""
+    WITH {_WIDE_CELLS}, pivoted AS (SELECT {KEYS}, {', '.join(_OVERALL_SQL)} FROM cells GROUP BY {KEYS}),
+    sites AS (SELECT chr, pos, ref, unnest(string_split(alt_list, ',')) AS alt, id, seq FROM fx_rsid),
+    ids AS (SELECT chr, pos, ref, alt, arg_min(id, seq) AS id FROM sites GROUP BY ALL)
+    SELECT p.chr AS "#CHR", p.pos AS POS, p.ref AS REF, p.alt AS ALT, p.chr||':'||p.pos||':'||p.ref||':'||p.alt AS SNP, coalesce(id, 'NA') AS RSID,
+      p.* EXCLUDE (chr, pos, ref, alt, occ), lmso_meta_removed_study_name
+    FROM pivoted p JOIN {_REMOVED_SQL} r USING ({KEYS}) LEFT JOIN ids i ON p.chr = i.chr AND p.pos = i.pos AND p.ref = i.ref AND p.alt = i.alt
+    WHERE all_meta_Nstudies > 1""", ("aligned", "fx_study", "fx_rsid"))
+def wide_post_filter(spark, sf):
+    table = wide(spark, sf).withColumnsRenamed({"#CHR": "chr", "POS": "pos", "REF": "ref", "ALT": "alt"})
+    named = annotate.add_rsids(table, fx.rsid(spark, sf)).withColumnsRenamed(
+        {"chr": "#CHR", "pos": "POS", "ref": "REF", "alt": "ALT"})
+    return comparable(annotate.post_filter(named))
+
+
 @query("filter_cols", f"""
     WITH {_ALL_SQL} SELECT chr, pos, ref, alt, snp, k AS all_meta_Nstudies, n_samples AS all_meta_N, {sql_rnd('beta_meta')} AS all_beta,
       'NA' AS rsid FROM all_res WHERE k > 1""", ("aligned",))

@@ -238,3 +238,17 @@ def test_wide_table_needs_no_shuffle_after_the_alignment(spark):
     # Of the rows: one for duplicates, one for the alignment. The third and fourth make the study list.
     assert plan.count("Exchange hashpartitioning(pos") == 2
     assert "Exchange hashpartitioning(chr" not in plan
+
+
+def test_queries_return_the_wide_table_in_full(spark):
+    from sumweave.operators import annotate
+    from sumweave.queries import ORACLE, QUERIES, meta as queries
+
+    sf = "/root/testdata/sf0.001"
+    whole = queries.wide(spark, sf)
+    got = QUERIES["wide_table"](spark, sf).columns
+    assert len(got) == len(whole.columns) == 5 + 6 * 6 + 2 + 9 + 2 + 9 + 6 * 10
+    assert {"all_inv_var_meta_beta", "all_inv_var_meta_mlog10p", "all_inv_var_het_p", "lmso_inv_var_meta_beta", "leave_S5_SAS_inv_var_meta_het_p"} <= set(got)
+    kept = annotate.post_filter(whole.withColumn("rsid", F.lit("NA"))).columns
+    assert len(QUERIES["wide_post_filter"](spark, sf).columns) == len(kept) == 6 + 2 + 9 + 2 + 9
+    assert {"wide_table", "wide_post_filter"} <= set(ORACLE)
