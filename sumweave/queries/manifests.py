@@ -107,6 +107,13 @@ def study_config(spark, sf):
     return manifest.study_config(manifest.pheno_fallback(results(spark, sf))).drop("config")
 
 
+@query("study_config_json", f"""SELECT analysis AS pheno, study AS name, '{{"name":"' || study || '","file":"' || uri || '","n_cases":' || cases ||
+    ',"n_controls":' || controls || ',"chr":"#CHR","pos":"POS","ref":"REF","alt":"ALT","af_alt":"af_alt","info":"imputationInfo","effect":"beta",' ||
+    '"effect_type":"beta","pval":"pval","se":"sebeta","Nsamples":"N"}}' AS config FROM {_FALLBACK}""", ("fx_named",))
+def study_config_json(spark, sf):
+    return manifest.study_config(manifest.pheno_fallback(results(spark, sf))).select("pheno", "name", "config")
+
+
 @query("pheno_list", "SELECT pheno, min(seq) AS first_seq FROM fx_named GROUP BY pheno", ("fx_named",))
 def pheno_list(spark, sf):
     return manifest.pheno_list(manifest.parse_name(fx.files(spark, sf)))

@@ -96,6 +96,18 @@ def inventory(spark, sf):
     return listed.agg(F.count_distinct(folder).alias("n"))
 
 
+@query("inventory_files", """
+    SELECT 'part=' || (seq % 4) || '/*.txt' AS uri, sum(strlen(uri) + 1)::BIGINT AS size, true AS timed FROM fx_files GROUP BY seq % 4""", ("fx_files",))
+def inventory_files(spark, sf):
+    path = scratch_path(spark, "inventory")
+    (fx.files(spark, sf).select((F.col("seq") % 4).alias("part"), F.col("uri").alias("value"))
+     .repartition("part").write.partitionBy("part").text(path))
+    # One row per file. Spark puts a random id into file names, which is shown as a star.
+    relative = F.regexp_replace(F.regexp_extract("uri", "/(part=[0-9]+/[^/]*)$", 1), "/part-.*[.]txt$", "/*.txt")
+    return manifest.inventory(spark, path).filter(F.col("uri").contains("/part=") & (F.col("size") > 0)).select(
+        relative.alias("uri"), "size", (F.col("modified") > F.lit("2000-01-01").cast("timestamp")).alias("timed"))
+
+
 @query("write_indexed", "SELECT chr, pos, ref, alt, n FROM munged", ("munged",))
 def write_indexed(spark, sf):
     path = scratch_path(spark, "indexed")

@@ -233,3 +233,12 @@ def test_sites_file_gives_rsids(spark, tmp_path):
     df = spark.createDataFrame([(23, 5, "A", "G"), (23, 5, "A", "T")], "chr int, pos bigint, ref string, alt string")
     named = add_rsids(df, delimited.scan_sites(spark, str(tmp_path / "s.vcf"))).collect()
     assert {(r.alt, r.rsid) for r in named} == {("G", "rs1"), ("T", "NA")}
+
+
+def test_queries_list_files_and_show_the_configuration(spark):
+    from sumweave.queries import ORACLE, QUERIES
+
+    files = QUERIES["inventory_files"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r["uri"] for r in files) == [f"part={i}/*.txt" for i in range(4)] and all(r["size"] > 0 and r["timed"] for r in files)
+    config = QUERIES["study_config_json"](spark, "/root/testdata/sf0.001").first()["config"]
+    assert config.startswith('{"name":"') and {"inventory_files", "study_config_json"} <= set(ORACLE)
