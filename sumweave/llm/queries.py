@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sumweave.llm import byte_bpe, decontaminate, hamming_ann, html_render, license_scan, ngram_join, substring_dedup, token_huffman, toxicity, url_filter
+from sumweave.llm import (byte_bpe, decontaminate, fill_in_middle, hamming_ann, html_render, license_scan, ngram_join, phrases, quality,
+                          substring_dedup, token_huffman, toxicity, url_filter)
 from sumweave.llm.registry import ORACLE, QUERIES, query, table
 from sumweave.session import scratch_path
 
@@ -86,6 +87,53 @@ FROM d LEFT JOIN p USING (r) LEFT JOIN q USING (r)
 """
 
 
+MIDDLE_SQL = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS i, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS ws,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), h AS (
+  SELECT i, doc_id, text, ws, len(ws) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(ws) + 1) AS x,
+         ('0x' || substr(h, 9, 8))::BIGINT % (len(ws) + 1) AS y, ('0x' || substr(h, 17, 8))::BIGINT % 100 AS h3,
+         ('0x' || substr(h, 25, 8))::BIGINT % 100 AS h4 FROM t
+), c AS (
+  SELECT doc_id, n, text, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90 THEN 'plain'
+         WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form, coalesce(array_to_string(ws[1:least(x, y)], ''), '') AS p,
+         coalesce(array_to_string(ws[least(x, y) + 1:greatest(x, y)], ''), '') AS m, coalesce(array_to_string(ws[greatest(x, y) + 1:], ''), '') AS s FROM h
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END)
+       AS output_sha256, sha256(text) AS restored_sha256 FROM c
+"""
+
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces
+), pos AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS s FROM words
+), win AS (SELECT lang, s, len(ws) - s + 1 AS rest, ws[s:s + 3] AS w FROM pos
+), grams AS (SELECT lang, w, unnest(range(1, least(rest, 4) + 1)) AS m FROM win
+), f AS (
+  SELECT lang, m, array_to_string(w[:m], ' ') AS phrase, count(*) AS n FROM grams GROUP BY ALL
+), total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS ws, n AS a FROM f WHERE m >= 2 AND n >= 30),
+c1 AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+k AS (SELECT *, array_to_string(ws[:k], ' ') AS x, array_to_string(ws[k + 1:], ' ') AS y FROM c1),
+cut AS (
+  SELECT k.lang, k.phrase, k.a, f1.n AS l, f2.n AS r, ((2000000::HUGEINT * k.a) // (f1.n + f2.n))::BIGINT AS score
+  FROM k JOIN f f1 ON f1.lang = k.lang AND f1.phrase = x JOIN f f2 ON f2.lang = k.lang AND f2.phrase = y
+  QUALIFY row_number() OVER (PARTITION BY k.lang, k.phrase ORDER BY score, k) = 1
+), part AS (
+  SELECT lang, array_to_string(ws[s:s + j - 1], ' ') AS phrase, max(a) AS more
+  FROM (SELECT *, unnest(range(1, m - j + 2)) AS s FROM (SELECT *, unnest(range(2, m)) AS j FROM c)) GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, total.n AS n, score
+FROM cut LEFT JOIN part USING (lang, phrase) JOIN total USING (lang)
+WHERE more IS NULL OR 100 * more::HUGEINT < 80 * a::HUGEINT QUALIFY rank <= 2000
+"""
+
+
 @query("op1_substring_dedup", REPEATS_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(substring_dedup.remove_repeats(spark, table(spark, sf_dir, "documents")))
@@ -136,3 +184,18 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_license_scan")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op11_quality")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_fill_in_middle", MIDDLE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op13_phrases", PHRASES_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
