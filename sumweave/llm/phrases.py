@@ -5,10 +5,12 @@ word, padded where its piece ends. The words after the first come as lead column
 every word starts exactly one window, ROLLUP over the window's columns gives the counts of all shorter
 phrases, and of all words, as sums of windows with the same beginning.
 
-Most windows of a large corpus come once. A phrase that comes often holds only neighbouring pairs that
-come often, so pairs are counted before, by hash, and a window is cut (and padded) at a pair that is
-too rare. That takes no occurrence from any phrase that is frequent enough: the hash, and the bitmap of
-fixed size that tells the tasks which pairs are frequent, can only keep a pair too many.
+Most windows of a large corpus come once. A phrase that comes often holds only pairs, and triples, that
+come often, so a window is cut (and padded) where its beginning stops to do so. Which do is found
+beforehand, by counts of hashes, level by level: a run of k words is only looked at if both runs of k - 1
+words in it are left. This takes no occurrence from any phrase that is frequent enough: the hash, and the
+bitmaps of fixed size that tell the tasks what is frequent, can only keep too much. All counts in the
+result are those of windows.
 """
 
 from __future__ import annotations
@@ -35,8 +37,10 @@ SCALE = 2_000_000
 NO_LANG = "und"
 #: Bytes of text a task handles at once; a longer run of words without a break is handled whole.
 CHUNK_BYTES = 4 << 20
-#: Bits of a pair's hash that are counted, and of the bitmap of frequent pairs (2**27 bits are 16 MB).
+#: Bits of a run's hash that are counted, and of the bitmap of frequent runs of one length (2**27 bits are 16 MB).
 KEY_BITS, MAP_BITS = 44, 27
+#: The best phrases of a language are picked from those of so many parts of it.
+PARTS = 32
 
 # Lower-cased A-Z, breaks as newline, separators as blank.
 _PLAIN = bytearray(range(256))
@@ -70,32 +74,66 @@ class Chunk:
         np.cumsum((view.astype(np.uint64) + np.uint64(1)) * power[:-1], dtype=np.uint64, out=sums[1:])
         self.hashes = mix((sums[self.ends] - sums[self.starts]) * inverse[self.starts] + (self.ends - self.starts).astype(np.uint64) * _LEFT)
         breaks = np.flatnonzero(view == 10)
-        piece = np.searchsorted(breaks, self.starts)
-        #: For each word but the last: does the next one stand in the same piece?
-        self.joined = piece[1:] == piece[:-1]
-        salt = np.uint64(int.from_bytes(hashlib.sha256(lang.encode()).digest()[:8], "little"))
-        self.pairs = mix(self.hashes[:-1] * _LEFT + self.hashes[1:] * _RIGHT + salt) >> np.uint64(64 - KEY_BITS)
-
-    def runs(self, frequent: np.ndarray) -> tuple[list[bytes], list[int]]:
-        """Runs of words whose neighbouring pairs are all frequent, and how often each run is given; every word is in one run."""
+        #: Which piece each word stands in.
+        self.piece = np.searchsorted(breaks, self.starts)
+        self.salt = np.uint64(int.from_bytes(hashlib.sha256(lang.encode()).digest()[:8], "little"))
+
+    def keys(self, size: int) -> np.ndarray:
+        """The key of the run of so many words from each word on, piece borders not regarded."""
+        n = max(0, len(self.hashes) - size + 1)
+        key = np.full(n, self.salt, dtype=np.uint64)
+        for k in range(size):
+            key = mix(key * _LEFT + self.hashes[k:k + n] * _RIGHT)
+        return key >> np.uint64(64 - KEY_BITS)
+
+    def looked_at(self, size: int, maps: list[np.ndarray]) -> np.ndarray:
+        """Where runs of `size` words start that lie in one piece and whose inner runs are all frequent.
+
+        maps: the bitmaps of the runs of 2, 3, ... words; the last that counts is that of size - 1."""
+        left = np.arange(max(0, len(self.hashes) - 1))
+        left = left[self.piece[left] == self.piece[left + 1]]
+        for length in range(2, size):
+            keys = self.keys(length)[left]
+            own = left[is_set(maps[length - 2], keys)]
+            # Runs of one more word: the next one must start at the next word.
+            left = own[:-1][own[1:] == own[:-1] + 1]
+        return left
+
+    def reach(self, longest: int, maps: list[np.ndarray]) -> np.ndarray:
+        """How many words of its window each word keeps."""
+        out = np.ones(len(self.hashes), dtype=np.int8)
+        for size in range(2, longest + 1):
+            at = self.looked_at(size, maps)
+            if size < longest:
+                at = at[is_set(maps[size - 2], self.keys(size)[at])]
+            out[at] = size
+        return out
+
+    def runs(self, longest: int, maps: list[np.ndarray]) -> tuple[list[bytes], list[bytes | None], list[int]]:
+        """Runs of words, the reach of each word of a run (None: a single word), and how often the run is given.
+
+        A window never passes its run's end, and every word is in one run."""
         n = len(self.starts)
         if not n:
-            return [], []
-        own = map_slot(self.pairs)
-        linked = self.joined & ((frequent[own >> np.uint64(3)] >> (own & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
-        first = np.flatnonzero(np.concatenate([[True], ~linked]))
+            return [], [], []
+        reach = self.reach(longest, maps)
+        covered = np.maximum.accumulate(np.arange(n) + reach)  # the first word after all windows so far
+        first = np.flatnonzero(np.concatenate([[True], np.arange(1, n) >= covered[:-1]]))
         last = np.concatenate([first[1:] - 1, [n - 1]])
         single = first == last
         # Words that stand alone are counted here.
         _, place, times = np.unique(self.hashes[first[single]], return_index=True, return_counts=True)
         alone = first[single][place]
-        spans = zip(np.concatenate([self.starts[alone], self.starts[first[~single]]]).tolist(),
-                    np.concatenate([self.ends[alone], self.ends[last[~single]]]).tolist())
-        return [self.data[a:b] for a, b in spans], times.tolist() + [1] * int((~single).sum())
+        low, high = first[~single].tolist(), last[~single].tolist()
+        words = [self.data[a:b] for a, b in zip(self.starts[alone].tolist(), self.ends[alone].tolist())]
+        words += [self.data[a:b] for a, b in zip(self.starts[first[~single]].tolist(), self.ends[last[~single]].tolist())]
+        packed = reach.tobytes()
+        return words, [None] * len(alone) + [packed[a:b + 1] for a, b in zip(low, high)], times.tolist() + [1] * len(low)
 
 
-def map_slot(pairs: np.ndarray) -> np.ndarray:
-    return pairs >> np.uint64(max(0, KEY_BITS - MAP_BITS))
+def is_set(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = keys >> np.uint64(max(0, KEY_BITS - MAP_BITS))
+    return ((bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
 
 def _pieces(data: bytes) -> Iterator[bytes]:
@@ -123,16 +161,20 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
     yield from ((k, b"\n".join(v)) for k, v in held.items())
 
 
-def frequent_pairs(texts: DataFrame, least: int) -> np.ndarray:
-    """A bitmap of the pairs that come `least` times: 2**MAP_BITS bits, which is what the driver and each task hold at most."""
+def frequent_runs(texts: DataFrame, size: int, least: int, maps: list[np.ndarray]) -> np.ndarray:
+    """A bitmap of the runs of `size` words that come `least` times, among those whose inner runs do.
+
+    2**MAP_BITS bits are what the driver and each task hold at most; the driver gets 64 of them a row."""
+    sent = texts.sparkSession.sparkContext.broadcast(maps)
+
     def run(batches):
         for lang, data in chunks(batches):
             c = Chunk(lang, data)
-            keys, times = np.unique(c.pairs[c.joined], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(times.astype(np.int64))], ["pair", "n"])
+            keys, times = np.unique(c.keys(size)[c.looked_at(size, sent.value)], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(times.astype(np.int64))], ["run", "n"])
 
-    counted = texts.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    slot = F.shiftright("pair", max(0, KEY_BITS - MAP_BITS))
+    counted = texts.mapInArrow(run, "run long, n long").groupBy("run").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    slot = F.shiftright("run", max(0, KEY_BITS - MAP_BITS))
     words = counted.groupBy(F.shiftright(slot, 6).alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int"))).alias("bits"))
     found = words.toArrow()
@@ -141,19 +183,23 @@ def frequent_pairs(texts: DataFrame, least: int) -> np.ndarray:
     return bitmap.view(np.uint8)
 
 
-def windows(texts: DataFrame, frequent: np.ndarray, longest: int) -> DataFrame:
+def windows(texts: DataFrame, longest: int, maps: list[np.ndarray]) -> DataFrame:
     """(lang, w1 .. w<longest>, n): how often each window comes; '' where it is padded."""
-    sent = texts.sparkSession.sparkContext.broadcast(frequent)
+    sent = texts.sparkSession.sparkContext.broadcast(maps)
 
     def run(batches):
         for lang, data in chunks(batches):
-            runs, times = Chunk(lang, data).runs(sent.value)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(runs), pa.string()), pa.array(runs, pa.binary()).cast(pa.string()),
-                                              pa.array(times, pa.int64())], ["lang", "run", "n"])
-
-    runs = texts.mapInArrow(run, "lang string, run string, n long").select("lang", F.split("run", " ").alias("words"), "n")
-    first = runs.select("lang", "words", "n", F.posexplode("words").alias("at", "w1"))
-    lead = [F.coalesce(F.get("words", F.col("at") + k), F.lit("")).alias(f"w{k + 1}") for k in range(1, longest)]
+            runs, reach, times = Chunk(lang, data).runs(longest, sent.value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(runs), pa.string()), pa.array(runs, pa.binary()).cast(pa.string()),
+                 pa.array([None if r is None else np.frombuffer(r, np.int8) for r in reach], pa.list_(pa.int8())),
+                 pa.array(times, pa.int64())], ["lang", "run", "reach", "n"])
+
+    runs = texts.mapInArrow(run, "lang string, run string, reach array<tinyint>, n long").select(
+        "lang", F.split("run", " ").alias("words"), "reach", "n")
+    first = runs.select("lang", "words", "reach", "n", F.posexplode("words").alias("at", "w1"))
+    kept = F.coalesce(F.get("reach", F.col("at")), F.lit(1))
+    lead = [F.when(kept > k, F.get("words", F.col("at") + k)).otherwise("").alias(f"w{k + 1}") for k in range(1, longest)]
     columns = [f"w{k + 1}" for k in range(longest)]
     return first.select("lang", "w1", *lead, "n").groupBy("lang", *columns).agg(F.sum("n").alias("n"))
 
@@ -214,9 +260,16 @@ def mine(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int =
     text is empty; repeated rows count each time; other columns are not read; without phrases, no rows.
     """
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang"), F.col(text_col).cast("binary").alias("text"))
-    counted = windows(texts, frequent_pairs(texts, least), longest)
+    maps: list[np.ndarray] = []
+    for size in range(2, longest):
+        maps.append(frequent_runs(texts, size, least, maps))
+    counted = windows(texts, longest, maps)
     counts = saved(docs.sparkSession, marginals(counted, least), "phrases")
     kept = without_taken(scored(counts), taken, longest)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    order = (F.desc("score"), F.desc("a"), "phrase")
+    # The best of each part of a language first, so that the task that ranks a language gets a fixed number of rows at most.
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+    kept = kept.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
+    order = Window.partitionBy("lang").orderBy(*order)
     return kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
