@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sumweave.functions.alleles import flip_effect, flip_frequency, strand_flip, variant_id
+from sumweave.operators.sequence import reverse_strand
 
 BIN_WIDTH = 65536
 
@@ -27,14 +28,17 @@ def overlapping_blocks(chain: DataFrame) -> DataFrame:
 
 
 def liftover(df: DataFrame, chain: DataFrame, ref_bases: DataFrame | None = None,
-             recover_swapped: bool = True) -> DataFrame:
+             recover_swapped: bool = True, windows: DataFrame | None = None) -> DataFrame:
     """Add ``new_chr, new_pos, new_ref, new_alt, swapped, lift_status`` to every row.
 
     ``chain`` has chr, src_start, src_end (0-based, half open), dst_chr, dst_start and strand, the
     destination in forward coordinates. ``ref_bases`` gives the target's base at (chr, pos): a
     reference allele that disagrees is rejected, unless the other allele agrees and
-    ``recover_swapped`` is set; then the alleles swap. The statuses: OK, NoTarget, CrossesBlock,
-    ReverseStrandIndel, MismatchedRefAllele.
+    ``recover_swapped`` is set; then the alleles swap. ``windows`` holds the target's sequence
+    (:func:`sumweave.operators.sequence.windows_of`): with it, alleles of several bases on a reverse
+    block are written anew for the other strand, indels anchored and left-aligned, and checked
+    against the whole reference allele. The statuses: OK, NoTarget, CrossesBlock, ReverseStrandIndel
+    (no sequence there), MismatchedRefAllele.
     """
     blocks = chain.select(
         F.col("chr").alias("_chr"), "src_start", "src_end", "dst_chr", "dst_start", "strand",
@@ -64,11 +68,20 @@ def liftover(df: DataFrame, chain: DataFrame, ref_bases: DataFrame | None = None
         .when(start + span > F.col("src_end"), "CrossesBlock")
         .when(reverse & ~single, "ReverseStrandIndel")
         .otherwise("OK").alias("lift_status"))
+    checked_here = F.lit(False)
+    if windows is not None:
+        turned = reverse_strand(lifted, windows, F.col("lift_status") == "ReverseStrandIndel")
+        known, agrees_all = F.coalesce("rs_known", F.lit(False)), F.col("rs_match")
+        value = lambda new, old: F.when(known, F.col(new)).otherwise(F.col(old)).alias(old)
+        lifted = turned.select(
+            *df.columns, "new_chr", value("rs_pos", "new_pos"), value("rs_ref", "new_ref"), value("rs_alt", "new_alt"), known.alias("_turned"),
+            F.when(known & agrees_all, "OK").when(known, "MismatchedRefAllele").otherwise(F.col("lift_status")).alias("lift_status"))
+        checked_here = F.col("_turned")
     if ref_bases is None:
         return _finish(lifted, df.columns, F.lit(False), F.col("lift_status"))
     bases = ref_bases.select(F.col("chr").alias("_bchr"), F.col("pos").alias("_bpos"), F.col("base").alias("_base"))
     checked = lifted.join(bases, (F.col("new_chr") == F.col("_bchr")) & (F.col("new_pos") == F.col("_bpos")), "left")
-    ok = F.col("lift_status") == "OK"
+    ok = (F.col("lift_status") == "OK") & ~checked_here
     agrees = F.substring("new_ref", 1, 1) == F.col("_base")
     swap = (ok & F.lit(recover_swapped) & (F.length("new_ref") == 1) & (F.length("new_alt") == 1)
             & ~F.coalesce(agrees, F.lit(False)) & F.coalesce(F.col("new_alt") == F.col("_base"), F.lit(False)))

@@ -4,20 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sumweave.sources import blockgzip
+from sumweave.sources.regions import write_zones
+
 
 def write_indexed(df: DataFrame, path: str, by: Sequence[str] = ("chr",), place: str = "pos",
                   ties: Sequence[str] = ()) -> None:
     """A table sorted by position and partitioned by chromosome.
 
-    Range partitioning spreads a large chromosome over many files, and each file's row groups
-    carry narrow min/max positions, so a region query skips the rest: the role of a position index.
+    Range partitioning spreads a large chromosome over many files, each with a narrow range of
+    positions. The zone map beside the table, one row per file, lets a region query open only the
+    files it needs (:func:`sumweave.sources.regions.scan_regions`): the role of a position index.
     """
     keys = [*by, place, *ties]
     (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
      .write.mode("overwrite").partitionBy(*by).parquet(path))
+    write_zones(df.sparkSession, path, by, place)
 
 
 def write_tsv(df: DataFrame, path: str, precision: int = 5, compression: str = "gzip") -> None:
@@ -27,6 +33,41 @@ def write_tsv(df: DataFrame, path: str, precision: int = 5, compression: str = "
     render(df, precision).write.mode("overwrite").csv(path, sep="\t", header=True, compression=compression, quote="")
 
 
+def write_bgz(df: DataFrame, path: str, precision: int = 5) -> None:
+    """Text form as block-gzip parts, each of which begins with the header."""
+    lines, header = text_lines(df, precision)
+    blockgzip.write_lines(with_header(lines, header), path)
+
+
+def write_single(df: DataFrame, path: str, precision: int = 5) -> int:
+    """Text form as one block-gzip file under one header, rows in partition order; returns its size.
+
+    All tasks compress their part; the parts are then copied end to end. Parts are kept beside the
+    file as ``<path>.parts``.
+    """
+    lines, header = text_lines(df, precision)
+    blockgzip.write_lines(lines, f"{path}.parts", ended=False)
+    return blockgzip.join_parts(df.sparkSession, f"{path}.parts", path, header)
+
+
+def text_lines(df: DataFrame, precision: int = 5) -> tuple[DataFrame, str]:
+    """(value) lines of tab-separated text, NA for missing values, and the header."""
+    from sumweave.operators.render import render
+
+    text = render(df, precision)
+    return text.select(F.concat_ws("\t", *[F.col(f"`{c}`") for c in text.columns]).alias("value")), "\t".join(text.columns)
+
+
+def with_header(lines: DataFrame, header: str) -> DataFrame:
+    """The header before the lines of every partition."""
+    def run(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([header])], ["value"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["value"])
+
+    return lines.mapInArrow(run, "value string")
+
+
 def write_hits(df: DataFrame, path: str, p: str, threshold: float) -> None:
     write_tsv(df.filter(F.col(f"`{p}`") < threshold), path, compression="none")
 
