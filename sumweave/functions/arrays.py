@@ -15,8 +15,3 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     not. The one-element array turns the value into such a variable.
     """
     return F.transform(F.array(value), body)[0]
-
-
-def fold_sum(array: Column, value: Callable[[Column], Column]) -> Column:
-    """Sum in array order; NULL as soon as one value is."""
-    return F.aggregate(array, F.lit(0.0), lambda acc, m: acc + value(m))

@@ -1,8 +1,9 @@
 """Fixed-effect meta-analysis over aligned variants.
 
 Everything after the alignment shuffle happens inside the row: the studies of a variant are an
-array, a *family* (all studies, all but one, a pair, a named subset) is a filtered view of it, and
-the sums are folds in study order. No further shuffle, and the float order is fixed.
+array, and a *family* (all studies, all but one, a pair, a named subset) is a set of sums over it,
+folded in study order. The families that leave one study out come from two running sums, so their
+work is linear in the studies. No further shuffle, and the float order is fixed.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sumweave.functions.arrays import fold_sum
+from sumweave.functions.arrays import bind
 from sumweave.functions.numeric import (
     chi2_sf, effective_size, logistic_effective_size, p_from_z, z_from_p,
 )
@@ -68,52 +69,130 @@ def with_sizes(df: DataFrame, studies: DataFrame) -> DataFrame:
     return df.join(studies.select("study_ord", "n_cases", "n_controls"), "study_ord")
 
 
-def _terms(members: Column, methods: Sequence[str], carried: Sequence[str] = ()) -> Column:
+#: Sums every family needs, whatever the method.
+COUNTS = ["n", "af", "info", "cases", "controls", "neff", "samples"]
+#: What a family of one study passes through.
+ONLY = ["beta", "se", "pval", "n_cases", "n_controls", "nlog", "af_alt", "info"]
+
+
+def _summed(methods: Sequence[str], het: bool) -> list[str]:
+    parts = ("w", "wb", "score", "spread", *(("s1", "s2") if het else ()))
+    return COUNTS + [f"{part}_{name}" for name in methods for part in parts]
+
+
+def _origins(members: Column, methods: Sequence[str]) -> Column:
+    """Per method a fixed point near the combined effect, from which squares are taken."""
+    def origin(name: str) -> Column:
+        weight = METHODS[name].weight
+        known = F.filter(members, lambda m: weight(m).isNotNull() & m["beta"].isNotNull())
+        total = F.aggregate(known, F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("wb")), lambda acc, m: F.struct(
+            (acc["w"] + weight(m)).alias("w"), (acc["wb"] + weight(m) * m["beta"]).alias("wb")))
+        return bind(total, lambda t: F.coalesce(F.try_divide(t["wb"], t["w"]), F.lit(0.0)))
+    return F.struct(*[origin(name).alias(name) for name in methods])
+
+
+def _terms(members: Column, methods: Sequence[str], het: bool, carried: Sequence[str] = ()) -> Column:
     """Per-study values that every family sums, worked out once per variant."""
-    def row(m: Column) -> Column:
+    def row(m: Column, origins: Column | None) -> Column:
         n = F.nullif(m["n"], F.lit(0).cast("bigint")).cast("double")
-        fields = [m[c].alias(c) for c in ("study_ord", "beta", "se", "pval", "af_alt", "info", "n",
-                                          "n_cases", "n_controls")]
-        fields += [n.alias("weight_n"), (m["af_alt"] * n).alias("af_n"), (m["info"] * n).alias("info_n"),
-                   logistic_effective_size(m["n_cases"], m["n_controls"]).alias("nlog")]
-        fields += [m[c].alias(c) for c in carried]
+        nlog = logistic_effective_size(m["n_cases"], m["n_controls"])
+        values = {"n": n, "af": m["af_alt"] * n, "info": m["info"] * n, "cases": m["n_cases"], "controls": m["n_controls"],
+                  "neff": nlog, "samples": m["n"]}
         for name in methods:
             method = METHODS[name]
-            fields += [method.weight(m).alias(f"w_{name}"), (method.weight(m) * m["beta"]).alias(f"wb_{name}"),
-                       method.score(m).alias(f"score_{name}"), method.spread(m).alias(f"spread_{name}")]
-        return F.struct(*fields)
-    return F.transform(members, row)
+            weight = method.weight(m)
+            values |= {f"w_{name}": weight, f"wb_{name}": weight * m["beta"], f"score_{name}": method.score(m),
+                       f"spread_{name}": method.spread(m)}
+            if origins is not None:
+                off = m["beta"] - origins[name]
+                values |= {f"s1_{name}": weight * off, f"s2_{name}": weight * off * off}
+        only = F.struct(*[(nlog if c == "nlog" else m[c]).alias(c) for c in ONLY])
+        sums = F.struct(*[values[c].cast("double").alias(c) for c in _summed(methods, het)])
+        return F.struct(m["study_ord"].alias("study_ord"), m["pval"].alias("pval"), sums.alias("s"), only.alias("only"),
+                        *[m[c].alias(c) for c in carried])
+    if not het:
+        return F.transform(members, lambda m: row(m, None))
+    return bind(_origins(members, methods), lambda origins: F.transform(members, lambda m: row(m, origins)))
+
+
+def _add(a: Column, b: Column, fields: Sequence[str]) -> Column:
+    return F.struct(*[(a[f] + b[f]).alias(f) for f in fields])
+
+
+def _zero(rows: Column, fields: Sequence[str]) -> Column:
+    """Zeros that Spark takes for nullable, as the sums that a fold starts from them are."""
+    return F.struct(*[F.when(F.size(rows) >= 0, F.lit(0.0)).alias(f) for f in fields])
+
+
+def _total(rows: Column, fields: Sequence[str]) -> Column:
+    """Sums in study order; NULL as soon as one study's value is."""
+    return F.aggregate(rows, _zero(rows, fields), lambda acc, m: _add(acc, m["s"], fields))
+
 
+def _sums_before(rows: Column, fields: Sequence[str]) -> Column:
+    """For each row the sums of the rows before it."""
+    kind = "array<struct<" + ",".join(f"{f}:double" for f in fields) + ">>"
+    start = F.struct(_zero(rows, fields).alias("sum"), F.array().cast(kind).alias("out"))
+    return F.aggregate(rows, start, lambda state, m: F.struct(
+        _add(state["sum"], m["s"], fields).alias("sum"), F.concat(state["out"], F.array(state["sum"])).alias("out")),
+        lambda state: state["out"])
 
-def _family(name: Column | str, left_out: Column | None, rows: Column) -> Column:
+
+def _left_out(rows: Column, fields: Sequence[str]) -> Column:
+    """Map from each study of the variant to the family of all others, in work linear in the studies.
+
+    The others' sums are those before the study plus those after it, so a study without a value
+    voids every family but the one that leaves it out. Sums differ from ones taken one by one in the
+    last bits only, as nothing is subtracted.
+    """
+    def entry(both: Column):
+        def family(m: Column, i: Column) -> Column:
+            sums = _add(F.get(both["before"], i), F.get(both["after"], F.size(rows) - 1 - i), fields)
+            return F.struct(m["study_ord"].alias("key"), F.struct(
+                (F.size(rows) - 1).alias("n_studies"), sums.alias("s"),
+                F.when(F.size(rows) == 2, F.get(rows, 1 - i)["only"]).alias("only")).alias("value"))
+        return F.map_from_entries(F.transform(rows, family))
+
+    return bind(F.struct(_sums_before(rows, fields).alias("before"), _sums_before(F.reverse(rows), fields).alias("after")), entry)
+
+
+def _family(name: Column | str, left_out: Column | None, n_studies: Column, sums: Column, only: Column) -> Column:
     label = F.lit(name) if isinstance(name, str) else name
     out = F.lit(None).cast("int") if left_out is None else left_out
-    return F.struct(label.alias("family"), out.alias("left_out"), rows.alias("rows"))
+    return F.struct(label.alias("family"), out.alias("left_out"), n_studies.alias("n_studies"), sums.alias("s"), only.alias("only"))
 
 
 def _families(leave_one_out: bool, leave_most_sig_out: bool, pairwise_with_first: bool,
-              subsets: Sequence[str], study_ords: Sequence[int], everything: bool) -> Column:
-    rows = F.col("_terms")
-    nothing = F.filter(rows, lambda m: F.lit(False))
-    out = [F.array(_family("all", None, rows))] if everything else []
+              subsets: Sequence[str], study_ords: Sequence[int], everything: bool, fields: Sequence[str]) -> Column:
+    rows, whole, others = F.col("_terms"), F.col("_whole"), F.col("_left_out")
+    first = F.get(rows, 0)["only"]
+    out = [F.array(_family("all", None, F.size(rows), whole, first))] if everything else []
     if leave_most_sig_out:
         # argmin of p, first study on ties; rows without a p-value cannot be the most significant.
         ranked = F.transform(F.filter(rows, lambda m: m["pval"].isNotNull()),
                              lambda m: F.struct(m["pval"], m["study_ord"]))
         drop = F.when(F.size(rows) > 1, F.array_min(ranked)["study_ord"])
+        found = lambda o: F.try_element_at(others, o)
         out.append(F.transform(F.array(drop), lambda o: _family(
-            "lmso", o, F.when(o.isNotNull(), F.filter(rows, lambda m: m["study_ord"] != o)))))
+            "lmso", o, F.coalesce(found(o)["n_studies"], F.lit(0)), found(o)["s"], found(o)["only"])))
     ords = F.array(*[F.lit(o) for o in study_ords]).cast("array<int>")
     if leave_one_out:
-        out.append(F.transform(ords, lambda o: _family(
-            F.concat(F.lit("leave_"), o.cast("string")), o, F.filter(rows, lambda m: m["study_ord"] != o))))
+        # Without the study, nothing is left out.
+        def leave(o: Column) -> Column:
+            all_of_them = F.struct(F.size(rows).alias("n_studies"), whole.alias("s"), first.alias("only"))
+            return bind(F.coalesce(F.try_element_at(others, o), all_of_them), lambda f: _family(
+                F.concat(F.lit("leave_"), o.cast("string")), o, f["n_studies"], f["s"], f["only"]))
+        out.append(F.transform(ords, leave))
+
+    def of_rows(name: Column, inside: Column) -> Column:
+        return bind(inside, lambda r: _family(name, None, F.size(r), _total(r, fields), F.get(r, 0)["only"]))
+
     if pairwise_with_first:
-        first = study_ords[0]
+        nothing = F.filter(rows, lambda m: F.lit(False))
 
         def pair(o: Column) -> Column:
-            both = F.filter(rows, lambda m: (m["study_ord"] == first) | (m["study_ord"] == o))
-            kept = F.when(F.size(both) == 2, both).otherwise(nothing)
-            return _family(F.concat(F.lit("pair_"), o.cast("string")), None, kept)
+            both = F.filter(rows, lambda m: (m["study_ord"] == study_ords[0]) | (m["study_ord"] == o))
+            return of_rows(F.concat(F.lit("pair_"), o.cast("string")), F.when(F.size(both) == 2, both).otherwise(nothing))
         out.append(F.transform(F.slice(ords, 2, max(len(study_ords) - 1, 1)), pair))
     if subsets:
         table = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(i // WORD).alias("word"),
@@ -122,25 +201,23 @@ def _families(leave_one_out: bool, leave_most_sig_out: bool, pairwise_with_first
 
         def subset(s: Column) -> Column:
             inside = F.filter(rows, lambda m: F.get(m["subset_bits"], s["word"]).bitwiseAND(s["bit"]) != 0)
-            return _family(F.concat(F.lit("subset_"), s["name"]), None, inside)
+            return of_rows(F.concat(F.lit("subset_"), s["name"]), inside)
         # A subset none of whose studies has the variant gives no row.
-        out.append(F.filter(F.transform(table, subset), lambda f: F.size(f["rows"]) > 0))
+        out.append(F.filter(F.transform(table, subset), lambda f: f["n_studies"] > 0))
     return F.concat(*out)
 
 
-def _estimates(name: str) -> list[Column]:
-    """Effect and z of one method, from the family's sums."""
-    total = F.col(f"_sum_{name}")
-    beta = F.try_divide(total["wb"], total["w"])
-    z = F.try_divide(total["score"], F.sqrt(total["spread"]))
-    return [beta.alias(f"_beta_{name}"), z.alias(f"_z_{name}")]
+def _estimates(name: str, het: bool) -> list[Column]:
+    """Effect, z and Cochran's Q of one method, from the family's sums.
 
-
-def _deviation(name: str) -> Column:
-    """Cochran's Q: weighted squares around the combined effect."""
-    beta = F.col(f"_beta_{name}")
-    return F.aggregate("_rows", F.lit(0.0), lambda acc, m: acc + m[f"w_{name}"]
-                       * (m["beta"] - beta) * (m["beta"] - beta))
+    Q is the weighted sum of squares around the combined effect, taken from squares around a fixed
+    point: s2 - s1^2 / w, which can't fall below zero but for rounding.
+    """
+    total = lambda part: F.col(f"_s.{part}_{name}")
+    beta = F.try_divide(total("wb"), total("w"))
+    z = F.try_divide(total("score"), F.sqrt(total("spread")))
+    q = [F.greatest(total("s2") - F.try_divide(total("s1") * total("s1"), total("w")), F.lit(0.0)).alias(f"_q_{name}")] if het else []
+    return [beta.alias(f"_beta_{name}"), z.alias(f"_z_{name}"), *q]
 
 
 def _result(name: str, het: bool) -> Column:
@@ -148,16 +225,16 @@ def _result(name: str, het: bool) -> Column:
     method = METHODS[name]
     none = F.lit(None).cast("double")
     beta, pval = F.col(f"_beta_{name}"), F.col(f"_p_{name}")
-    se = F.sqrt(F.try_divide(F.lit(1.0), F.col(f"_sum_{name}.w"))) if method.has_se else none
+    se = F.sqrt(F.try_divide(F.lit(1.0), F.col(f"_s.w_{name}"))) if method.has_se else none
     valid = beta.isNotNull() & pval.isNotNull()
     if method.needs_n:
-        valid = valid & F.col("_n").isNotNull()
+        valid = valid & F.col("_s.n").isNotNull()
     size = F.col("n_studies")
-    only = F.get(F.col("_rows"), 0)
+    only = F.col("_only")
     meta = {
         "beta": beta, "se": se, "pval": pval,
-        "n_cases": F.col("_cases"), "n_controls": F.col("_controls"), "n_eff": F.col("_neff"),
-        "af_alt": F.try_divide(F.col("_af"), F.col("_n")), "info": F.try_divide(F.col("_info"), F.col("_n")),
+        "n_cases": F.col("_s.cases"), "n_controls": F.col("_s.controls"), "n_eff": F.col("_s.neff"),
+        "af_alt": F.try_divide(F.col("_s.af"), F.col("_s.n")), "info": F.try_divide(F.col("_s.info"), F.col("_s.n")),
         "het_p": F.col(f"_het_{name}") if het else none,
     }
     single = {
@@ -193,7 +270,6 @@ def meta(aligned: DataFrame, methods: Sequence[str] = ("inv_var",), *, het: bool
     if chrom is not None:
         aligned = aligned.filter(F.col("chr") == chrom)
     keys = [c for c in aligned.columns if c != "members"]
-    families = _families(leave_one_out, leave_most_sig_out, pairwise_with_first, subsets, study_ords, everything)
     needs_z = any(m in ("n", "variance") for m in methods)
     needs_neff = "n" in methods
 
@@ -205,28 +281,18 @@ def meta(aligned: DataFrame, methods: Sequence[str] = ("inv_var",), *, het: bool
 
     if needs_z or needs_neff:
         aligned = aligned.withColumn("members", F.transform("members", extended))
-    exploded = (aligned.withColumn("_terms", _terms(F.col("members"), methods, ["subset_bits"] if subsets else []))
-                .withColumn("_f", F.explode(families))
-                .select(*keys, *keep, F.col("_f.family").alias("family"), F.col("_f.left_out").alias("left_out"),
-                        F.col("_f.rows").alias("_rows")))
-    rows = F.col("_rows")
-    sums = exploded.select(
-        "*",
-        fold_sum(rows, lambda m: m["weight_n"]).alias("_n"),
-        fold_sum(rows, lambda m: m["af_n"]).alias("_af"),
-        fold_sum(rows, lambda m: m["info_n"]).alias("_info"),
-        fold_sum(rows, lambda m: m["n_cases"]).alias("_cases"),
-        fold_sum(rows, lambda m: m["n_controls"]).alias("_controls"),
-        fold_sum(rows, lambda m: m["nlog"]).alias("_neff"),
-        fold_sum(rows, lambda m: m["n"]).cast("bigint").alias("n_samples"),
-        *[F.struct(*[fold_sum(rows, lambda m, c=f"{part}_{name}": m[c]).alias(part)
-                     for part in ("w", "wb", "score", "spread")]).alias(f"_sum_{name}")
-          for name in methods])
-    # One step per layer, so that no fold is worked out twice: effects and z, then Q, then tails.
-    estimates = sums.select("*", F.coalesce(F.when(rows.isNotNull(), F.size(rows)), F.lit(0)).alias("n_studies"),
-                            *[c for name in methods for c in _estimates(name)])
-    if het:
-        estimates = estimates.select("*", *[_deviation(name).alias(f"_q_{name}") for name in methods])
+    fields = _summed(methods, het)
+    rows = F.col("_terms")
+    terms = aligned.select(*keys, *keep, _terms(F.col("members"), methods, het, ["subset_bits"] if subsets else []).alias("_terms"))
+    # One step per layer, so that nothing is worked out twice: sums, families, effects, then tails.
+    summed = terms.select("*", _total(rows, fields).alias("_whole"),
+                          *([_left_out(rows, fields).alias("_left_out")] if leave_one_out or leave_most_sig_out else []))
+    families = _families(leave_one_out, leave_most_sig_out, pairwise_with_first, subsets, study_ords, everything, fields)
+    # What is kept of the variant goes with its first family, if there is one of all studies.
+    kept = [F.when(F.col("_f.family") == "all", F.col(c)).alias(c) if everything else F.col(c) for c in keep]
+    exploded = summed.select(*keys, *keep, F.explode(families).alias("_f")).select(
+        *keys, *kept, *[F.col(f"_f.{c}").alias(c) for c in ("family", "left_out", "n_studies")], F.col("_f.s").alias("_s"), F.col("_f.only").alias("_only"))
+    estimates = exploded.select("*", F.col("_s.samples").cast("bigint").alias("n_samples"), *[c for name in methods for c in _estimates(name, het)])
     tails = estimates.select(
         "*", *[p_from_z(F.col(f"_z_{name}")).alias(f"_p_{name}") for name in methods],
         *[chi2_sf(F.col(f"_q_{name}"), F.col("n_studies") - 1).alias(f"_het_{name}")

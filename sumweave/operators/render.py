@@ -46,7 +46,7 @@ def to_wide(results: DataFrame, studies: Sequence[tuple[int, str]], methods: Seq
     entry = F.struct(F.concat_ws("|", "family", "method"), cell)
     head = F.struct("family", F.struct("left_out", "n_studies", "n_samples"))
     gathered = results.groupBy(*keys).agg(
-        F.first("members").alias("_members"),
+        F.first("members", ignorenulls=True).alias("_members"),
         F.map_from_entries(F.collect_list(entry)).alias("_cells"),
         F.map_from_entries(F.collect_set(head)).alias("_heads"))
     names = {o: name for o, name in studies}
