@@ -76,8 +76,20 @@ def latest_file(df: DataFrame, seq: str = "seq") -> DataFrame:
     return df.groupBy(base_name(F.col("uri")).alias("name")).agg(F.max_by("uri", seq).alias("uri"))
 
 
-def pick_latest(parsed: DataFrame, when: Sequence[str] = ("date", "seq")) -> DataFrame:
-    """One results file per study, freeze and phenotype: the latest."""
+def with_modified(parsed: DataFrame, listed: DataFrame) -> DataFrame:
+    """The modification time of every file, from an :func:`inventory`; of several entries for one file the last counts."""
+    times = listed.groupBy("uri").agg(F.max("modified").alias("modified"))
+    return parsed.join(times, "uri", "left")
+
+
+def pick_latest(parsed: DataFrame, when: Sequence[str] | None = None) -> DataFrame:
+    """One results file per study, freeze and phenotype: the one modified last.
+
+    Equal times, and tables without a ``modified`` column, go by the name's date, then the listing
+    order; a file without a known time comes before all that have one.
+    """
+    if when is None:
+        when = [c for c in ("modified", "date", "seq") if c in parsed.columns]
     columns = ["dataset", "freeze", "pheno"]
     rest = F.struct(*[c for c in parsed.columns if c not in columns])
     newest = parsed.groupBy(*columns).agg(F.max_by(rest, F.struct(*when)).alias("_row"))

@@ -163,7 +163,7 @@ def _family(name: Column | str, left_out: Column | None, n_studies: Column, sums
 
 
 def _families(leave_one_out: bool, leave_most_sig_out: bool, pairwise_with_first: bool,
-              subsets: Sequence[str], study_ords: Sequence[int], everything: bool, fields: Sequence[str]) -> Column:
+              subsets: Sequence[str], study_ords: Sequence[int] | Column, everything: bool, fields: Sequence[str]) -> Column:
     rows, whole, others = F.col("_terms"), F.col("_whole"), F.col("_left_out")
     first = F.get(rows, 0)["only"]
     out = [F.array(_family("all", None, F.size(rows), whole, first))] if everything else []
@@ -175,7 +175,7 @@ def _families(leave_one_out: bool, leave_most_sig_out: bool, pairwise_with_first
         found = lambda o: F.try_element_at(others, o)
         out.append(F.transform(F.array(drop), lambda o: _family(
             "lmso", o, F.coalesce(found(o)["n_studies"], F.lit(0)), found(o)["s"], found(o)["only"])))
-    ords = F.array(*[F.lit(o) for o in study_ords]).cast("array<int>")
+    ords = study_ords if isinstance(study_ords, Column) else F.array(*[F.lit(o) for o in study_ords]).cast("array<int>")
     if leave_one_out:
         # Without the study, nothing is left out.
         def leave(o: Column) -> Column:
@@ -191,9 +191,9 @@ def _families(leave_one_out: bool, leave_most_sig_out: bool, pairwise_with_first
         nothing = F.filter(rows, lambda m: F.lit(False))
 
         def pair(o: Column) -> Column:
-            both = F.filter(rows, lambda m: (m["study_ord"] == study_ords[0]) | (m["study_ord"] == o))
+            both = F.filter(rows, lambda m: (m["study_ord"] == F.get(ords, 0)) | (m["study_ord"] == o))
             return of_rows(F.concat(F.lit("pair_"), o.cast("string")), F.when(F.size(both) == 2, both).otherwise(nothing))
-        out.append(F.transform(F.slice(ords, 2, max(len(study_ords) - 1, 1)), pair))
+        out.append(F.transform(F.slice(ords, F.lit(2), F.greatest(F.size(ords) - 1, F.lit(1))), pair))
     if subsets:
         table = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(i // WORD).alias("word"),
                                    F.lit(1 << i % WORD).cast("bigint").alias("bit"))
@@ -254,12 +254,13 @@ def _result(name: str, het: bool) -> Column:
 def meta(aligned: DataFrame, methods: Sequence[str] = ("inv_var",), *, het: bool = False,
          leave_one_out: bool = False, leave_most_sig_out: bool = False,
          pairwise_with_first: bool = False, subsets: Sequence[str] = (), everything: bool = True,
-         chrom: int | None = None, study_ords: Sequence[int] = (), keep: Sequence[str] = ()) -> DataFrame:
+         chrom: int | None = None, study_ords: Sequence[int] | Column = (), keep: Sequence[str] = ()) -> DataFrame:
     """Meta-analyse the result of :func:`align_groups`, in long form.
 
     ``members`` must carry beta, se, pval, af_alt, info, n, n_cases and n_controls, and
     ``subset_bits`` (see :func:`subset_table`) when ``subsets`` names any. ``study_ords`` is the configured study list,
-    which leave-one-out and pairwise results follow even where a study lacks the variant.
+    which leave-one-out and pairwise results follow even where a study lacks the variant; it may be a
+    column, where groups of the table have lists of their own.
     One row per variant, family and method: the grouping columns, the variant, ``occ``, ``family``,
     ``left_out``, ``method``, ``n_studies``, ``n_samples`` and the statistics. A family with two or
     more studies is meta-analysed, one with a single study passes its statistics through, an empty
@@ -301,8 +302,8 @@ def meta(aligned: DataFrame, methods: Sequence[str] = ("inv_var",), *, het: bool
     return tails.select(*keys, *keep, "family", "left_out", "n_studies", "n_samples", F.inline(results))
 
 
-def subset_table(studies: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """(study_ord, subset_bits): which of the rules each study satisfies, one bit per rule.
+def subset_bits(rules: dict[str, Column]) -> Column:
+    """Which of the rules a study satisfies, one bit per rule.
 
     Rows carry these few words through the alignment instead of subset names. Pass the names of
     ``rules``, in order, to :func:`meta`.
@@ -314,12 +315,18 @@ def subset_table(studies: DataFrame, rules: dict[str, Column]) -> DataFrame:
         for i, rule in enumerate(conditions[start:start + WORD]):
             word = word + F.when(rule, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
         words.append(word)
-    return studies.select("study_ord", F.array(*words).alias("subset_bits"))
+    return F.array(*words)
+
+
+def subset_table(studies: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """(study_ord, subset_bits) of every study."""
+    return studies.select("study_ord", subset_bits(rules).alias("subset_bits"))
 
 
 def standard_subsets(name: Column) -> dict[str, Column]:
     """The fixed study subsets: all but some cohorts, ancestries, and combinations of the two."""
     low = F.lower(name)
+    # Cohorts that polygenic scores leave out.
     prs = ["hostage", "belcovid", "bosco", "gencovid", "bracovid", "swecovid", "bqc19", "spgrx"]
     not_prs = ~low.rlike("^(" + "|".join(prs) + ")")
     ukbb, genomicc, andme = low.startswith("ukbb"), low.startswith("genomicc"), low.startswith("23andme")

@@ -106,6 +106,34 @@ def qq_points(long: DataFrame, ties: Sequence[str] = ("chr", "pos")) -> DataFram
                          (-F.log10("pval")).alias("observed"))
 
 
+#: Bins per factor of ten of p for a thinned QQ plot, and points of the tail that are all kept.
+THIN_BINS, TAIL = 100, 1000
+
+
+def qq_thinned(long: DataFrame, bins: int = THIN_BINS, tail: int = TAIL, ties: Sequence[str] = ("chr", "pos")) -> DataFrame:
+    """(p_col, rank, expected, observed): the points of a QQ plot that can be told apart, without sorting the rows.
+
+    Counts per bin of -log10 p add up to exact ranks at the bins' edges. The bins of the smallest
+    p-values that hold at most ``tail`` points together give every point, with its exact rank; every
+    other bin gives its last one, the largest p. A column has at most ``tail`` points and one per bin.
+    """
+    rows = long.filter((F.col("pval") > 0) & (F.col("pval") < 1)).withColumn(
+        "_bin", F.floor(-F.log10("pval") * bins + 1e-9).cast("int"))
+    counts = rows.groupBy("p_col", "_bin").agg(F.count("*").alias("_n"), F.max("pval").alias("_last"))
+    # One row per column and bin: the order of the bins is that of falling -log10 p.
+    down = Window.partitionBy("p_col").orderBy(F.desc("_bin"))
+    counts = counts.select("p_col", "_bin", "_last", F.sum("_n").over(down).alias("_upto"),
+                           F.sum("_n").over(Window.partitionBy("p_col")).alias("n"))
+    inside = counts.filter(F.col("_upto") <= tail).select("p_col", "_bin", "n")
+    order = Window.partitionBy("p_col").orderBy("pval", *ties)
+    detail = rows.join(inside, ["p_col", "_bin"]).select(
+        "p_col", F.row_number().over(order).cast("bigint").alias("rank"), "pval", "n")
+    edges = counts.filter(F.col("_upto") > tail).select("p_col", F.col("_upto").alias("rank"), F.col("_last").alias("pval"), "n")
+    a = F.when(F.col("n") <= 10, 0.375).otherwise(0.5)
+    return detail.unionByName(edges).select(
+        "p_col", "rank", (-F.log10((F.col("rank") - a) / (F.col("n") + 1 - 2 * a))).alias("expected"), (-F.log10("pval")).alias("observed"))
+
+
 def manhattan(long: DataFrame, loglog: float = 10.0, p_max: float = 0.01) -> DataFrame:
     """Manhattan points with p below ``p_max``, placed along the genome, plain and log-log.
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from sumweave.operators import cohorts, manifest, runlog
 from sumweave.queries import fixtures as fx
 from sumweave.queries.base import query, rnd, sql_rnd
+from sumweave.session import scratch_path
+from sumweave.sources import config, runs
 
 VALID = "date ~ '^202[1-9][0-1][0-9][0-3][0-9]$'"
 
@@ -46,6 +48,29 @@ def pick_latest(spark, sf):
     return manifest.pick_latest(results(spark, sf)).select("dataset", "freeze", "pheno", "uri", "cases", "controls")
 
 
+@query("pick_newest", f"""SELECT dataset, "freeze", pheno, uri FROM fx_named WHERE {VALID}
+    QUALIFY row_number() OVER (PARTITION BY dataset, "freeze", pheno ORDER BY seq * 7919 % 1009 DESC, date DESC, seq DESC) = 1""", ("fx_named",))
+def pick_newest(spark, sf):
+    # Uploads in an order that is neither that of the names' dates nor that of the listing.
+    listed = fx.files(spark, sf).select("uri", F.timestamp_seconds(1_600_000_000 + F.col("seq") * 7919 % 1009).alias("modified"))
+    return manifest.pick_latest(manifest.with_modified(results(spark, sf), listed)).select("dataset", "freeze", "pheno", "uri")
+
+
+@query("meta_documents", f"""SELECT analysis AS pheno, study AS name, uri AS file, cases AS n_cases, controls AS n_controls, 'beta' AS effect_type,
+    row_number() OVER (PARTITION BY analysis ORDER BY study) - 1 AS study_ord FROM (SELECT * FROM (
+      SELECT r.target AS analysis, dataset || '_' || ancestry AS study, uri, cases, controls, r.rank, seq FROM fx_named JOIN (VALUES
+        ('WQ1.3', 'WQ1.3', 0), ('WQ1.3', 'NQ1.3', 1), ('WQ2.3', 'WQ2.3', 0), ('WQ2.3', 'NQ2.3', 1), ('N1.3', 'NE1.3', 0), ('N1.3', 'NQ1.3', 1),
+        ('N2.3', 'NE2.3', 0), ('N2.3', 'NQ2.3', 1), ('W1.3', 'WE1.3', 0), ('W1.3', 'WQ1.3', 1), ('W1.3', 'NE1.3', 2), ('W1.3', 'NQ1.3', 3),
+        ('W2.3', 'WE2.3', 0), ('W2.3', 'WQ2.3', 1), ('W2.3', 'NE2.3', 2), ('W2.3', 'NQ2.3', 3)) r(target, source, rank) ON pheno = r.source WHERE {VALID})
+      QUALIFY row_number() OVER (PARTITION BY analysis, study ORDER BY rank, seq DESC) = 1)""", ("fx_named",))
+def meta_documents(spark, sf):
+    rows = manifest.study_config(manifest.pheno_fallback(results(spark, sf))).filter(~F.col("pheno").rlike("^N[EQ]"))
+    path = scratch_path(spark, "documents")
+    manifest.meta_configs(rows).select("pheno", F.col("document").alias("value")).write.partitionBy("pheno").text(path)
+    back = config.scan_config(spark, f"{path}/*", by_folder=True)
+    return back.select("pheno", "name", "file", "n_cases", "n_controls", "effect_type", F.col("study_ord").cast("bigint").alias("study_ord"))
+
+
 _CELLS = ", ".join(f"max(CASE WHEN \"freeze\" = '{f}' AND pheno = '{p}' THEN cases || '/' || controls END) AS \"{f}_{p}\""
                    for f in ("F1", "F2", "F3") for p in manifest.PHENOS)
 
@@ -268,6 +293,32 @@ def workflow_failures(spark, sf):
     return runlog.workflow_failures(fx.runs(spark, sf).withColumn("failures", F.array(nested)))
 
 
+@query("scan_runs", f"""WITH {_LAST}
+    SELECT run_id, call_name, shard, attempt, status, {sql_rnd('dur_min', 2)} AS dur_min, CASE WHEN status = 'Failed' THEN 'root cause ' || event_id END AS message
+    FROM last""", ("fx_runs",))
+def scan_runs(spark, sf):
+    # Documents of runs with their jobs by call; failures have up to fourteen causes below each other.
+    depth = (F.col("event_id") % 15).cast("int")
+    cause = F.concat(F.repeat(F.lit('{"message":"above","causedBy":['), depth), F.lit('{"message":"root cause '), F.col("event_id").cast("string"),
+                     F.lit('","causedBy":[]}'), F.repeat(F.lit("]}"), depth))
+    second = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    start = F.date_trunc("second", "start_ts")
+    end = F.timestamp_seconds(F.unix_seconds(start) + F.round(F.col("dur_min") * 60, 3))
+    job = F.concat(F.lit('{"shardIndex":'), F.col("shard").cast("string"), F.lit(',"attempt":'), F.col("attempt").cast("string"),
+                   F.lit(',"executionStatus":"'), F.col("status"), F.lit('","start":"'), second(start), F.lit('","end":"'), second(end), F.lit('"'),
+                   F.when(F.col("status") == "Failed", F.concat(F.lit(',"failures":['), cause, F.lit("]"))).otherwise(""), F.lit("}"))
+    calls = fx.runs(spark, sf).groupBy("run_id", "call_name").agg(F.array_join(F.collect_list(job), ",").alias("jobs"))
+    call = F.concat(F.lit('"'), F.col("call_name"), F.lit('":['), F.col("jobs"), F.lit("]"))
+    docs = calls.groupBy("run_id").agg(F.concat(F.lit('{"id":"'), F.col("run_id").cast("string"), F.lit('","status":"Done","calls":{'),
+                                                F.array_join(F.collect_list(call), ","), F.lit("}}")).alias("value"))
+    path = scratch_path(spark, "runs")
+    docs.select("run_id", "value").repartition("run_id").write.partitionBy("run_id").text(path)
+    jobs = runlog.latest_attempts(runs.scan_runs(spark, f"{path}/*"))
+    causes = runlog.workflow_failures(jobs).select("run_id", "call_name", "shard", "message")
+    return jobs.join(causes, ["run_id", "call_name", "shard"], "left").select(
+        F.col("run_id").cast("bigint").alias("run_id"), "call_name", "shard", "attempt", "status", rnd("dur_min", 2).alias("dur_min"), "message")
+
+
 @query("recent_runs", "SELECT event_id, run_id, call_name, status FROM fx_runs ORDER BY start_ts DESC, event_id DESC LIMIT 10", ("fx_runs",))
 def recent_runs(spark, sf):
     return runlog.recent_runs(fx.runs(spark, sf)).select("event_id", "run_id", "call_name", "status")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,12 +10,14 @@ from pyspark.sql import functions as F
 
 from sumweave.functions import alleles, numeric, values
 from sumweave.operators import align as al
-from sumweave.operators import annotate, meta as mt, render
+from sumweave.operators import annotate, manifest, meta as mt, render
+from sumweave.plans import meta as plan
 from sumweave.queries import fixtures as fx
 from sumweave.queries.base import (
     key_sql, mlog10, query, reversed_sql, rnd, sql_chi2, sql_mlog10, sql_p, sql_rnd, sql_z,
 )
 from sumweave.session import scratch_path
+from sumweave.sources.config import parse_config
 
 KEY = ["chr", "pos", "ref", "alt", "occ"]
 KEYS = ", ".join(KEY)
@@ -196,6 +199,70 @@ def meta_by_subset(spark, sf):
     return shown(mt.meta(al.align_groups(rows), subsets=list(rules), everything=False), "family")
 
 
+# Two phenotypes that share files, with cohorts that every exclusion rule meets, from files on disk.
+
+COHORTS = ["UKBB_EUR", "GENOMICC_AFR", "23andMe_AMR", "BelCovid_FIN", "CHULA_EAS", "Egypt_hgCOVID_AFR"]
+PHENOS = {"P1": [0, 1, 2, 3], "P2": [4, 5, 0, 2]}
+# The subsets of each cohort, written out by hand.
+_IN_SUBSETS = {
+    0: "all leave_genomicc leave_23andme leave_prs eur eur_leave_23andme",
+    1: "all leave_ukbb leave_23andme leave_ukbb_23andme leave_prs admixed admixed_leave_23andme afr afr_leave_23andme",
+    2: "all leave_ukbb leave_genomicc leave_prs admixed his",
+    3: "all leave_ukbb leave_genomicc leave_23andme leave_ukbb_23andme eur eur_leave_23andme eur_leave_ukbb eur_leave_ukbb_23andme",
+    4: "all leave_ukbb leave_genomicc leave_23andme leave_ukbb_23andme leave_prs",
+    5: "all leave_ukbb leave_genomicc leave_23andme leave_ukbb_23andme leave_prs",
+}
+_MEMBERS = ", ".join(f"('{p}', {o}, {i}, '{COHORTS[o]}', {200 * (o + 1)}, {2000 * (o + 1) + 17})" for p, os in PHENOS.items() for i, o in enumerate(os))
+_FAMILIES = ", ".join(f"({o}, '{name}')" for o, names in _IN_SUBSETS.items() for name in names.split())
+
+
+def _pheno_ctes() -> str:
+    """Alignment by phenotype, round by round, in each phenotype's own order of studies."""
+    out = f"""mem(pheno, study_ord, place, study, n_cases, n_controls) AS (VALUES {_MEMBERS}),
+    p0 AS MATERIALIZED (SELECT k.* EXCLUDE (study_ord), pheno, place AS study_ord, mem.study_ord AS cohort, mem.study, mem.n_cases, mem.n_controls
+      FROM keyed k JOIN mem USING (study_ord))"""
+    for r in range(4):
+        out += f""",
+    t{r} AS MATERIALIZED (SELECT p.* EXCLUDE (rn), {r} AS occ FROM (SELECT r.*, a.aref, a.aalt, row_number() OVER (PARTITION BY r.pheno, r.chr, r.pos, r.k, r.study_ord
+        ORDER BY (CASE WHEN r.ref = a.aref AND r.alt = a.aalt THEN 0 ELSE 1 END), r.ford) AS rn FROM p{r} r JOIN (
+          SELECT pheno, chr, pos, k, arg_min(ref, (study_ord, ford)) AS aref, arg_min(alt, (study_ord, ford)) AS aalt FROM p{r} GROUP BY ALL) a
+        ON r.pheno = a.pheno AND r.chr = a.chr AND r.pos = a.pos AND r.k = a.k) p WHERE rn = 1),
+    p{r + 1} AS MATERIALIZED (SELECT * FROM p{r} s WHERE NOT EXISTS (SELECT 1 FROM t{r} p WHERE p.ford = s.ford AND p.pheno = s.pheno))"""
+    union = " UNION ALL ".join(f"SELECT * FROM t{r}" for r in range(4))
+    return out + f""",
+    al AS MATERIALIZED (SELECT pheno, chr, pos, aref AS ref, aalt AS alt, occ, cohort, study, CASE WHEN flip THEN 0 - beta ELSE beta END AS beta,
+        se, pval, n, n_cases, n_controls FROM (SELECT *, {reversed_sql('ref', 'alt', 'aref', 'aalt')} AS flip FROM ({union})))"""
+
+
+@query("meta_phenos", f"""
+    WITH {_pheno_ctes()}, sub(cohort, name) AS (VALUES {_FAMILIES}),
+    fam AS (SELECT *, 'all' AS family, NULL AS left_study FROM al
+      UNION ALL SELECT al.*, 'subset_' || name, NULL FROM al JOIN sub USING (cohort)
+      UNION ALL SELECT al.*, 'leave', o.study FROM al JOIN mem o ON al.pheno = o.pheno AND al.study <> o.study),
+    s AS (SELECT pheno, {KEYS}, family, left_study, count(*) AS k, sum(n)::BIGINT AS n_samples, sum(1/(se*se)) AS w, sum(beta/(se*se)) AS wb,
+        any_value(beta) AS b1, any_value(se) AS se1, any_value(pval) AS p1 FROM fam GROUP BY ALL)
+    SELECT pheno, {KEYS}, family, left_study, k AS n_studies, n_samples, {sql_rnd('CASE WHEN k > 1 THEN wb/w ELSE b1 END')} AS beta,
+      {sql_rnd('CASE WHEN k > 1 THEN sqrt(1/w) ELSE se1 END')} AS se, {sql_mlog10(f"CASE WHEN k > 1 THEN {sql_p('z')} ELSE p1 END")} AS mlog10p
+    FROM (SELECT *, wb/sqrt(w) AS z FROM s)""", ("keyed",))
+def meta_phenos(spark, sf):
+    path = scratch_path(spark, "studies")
+    columns = {"chr": "CHR", "pos": "POS", "ref": "REF", "alt": "ALT", "af_alt": "af_alt", "info": "imputationInfo", "beta": "beta", "se": "sebeta",
+               "pval": "pval", "n": "N"}
+    rows = fx.munged(spark, sf).repartition(3, "study_ord").sortWithinPartitions("study_ord", "file_order")
+    rows.select("study_ord", *[F.col(c).alias(name) for c, name in columns.items()]).write.partitionBy("study_ord").csv(path, sep="\t", header=True)
+    entry = {**manifest.CONFIG_COLUMNS, "chr": "CHR", "effect_type": "beta"}
+    configs = {p: parse_config(json.dumps({"meta": [
+        {**entry, "name": COHORTS[o], "file": f"{path}/study_ord={o}", "n_cases": 200 * (o + 1), "n_controls": 2000 * (o + 1) + 17} for o in os]}))
+        for p, os in PHENOS.items()}
+    out = plan.run_metas(spark, configs, rules=mt.standard_subsets, leave_one_out=True)
+    stored = scratch_path(spark, "metas")
+    plan.write_metas(out, stored)
+    back = spark.read.parquet(stored).filter("n_studies > 0")
+    label = F.when(F.col("left_study").isNotNull(), "leave").otherwise(F.col("family"))
+    return back.select("pheno", *KEY, label.alias("family"), "left_study", F.col("n_studies").cast("bigint").alias("n_studies"), "n_samples",
+                       rnd("beta").alias("beta"), rnd("se").alias("se"), mlog10("pval").alias("mlog10p"))
+
+
 @query("extra_cols", f"""
     SELECT {KEYS}, {", ".join(f"max(CASE WHEN p.study_ord = {o} THEN x END) AS {name}_x" for o, name in STUDIES)}
     FROM (SELECT chr, pos, aref AS ref, aalt AS alt, occ, study_ord, 'r' || n AS x FROM

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from sumweave.functions.alleles import is_placeholder
 from sumweave.operators import align, build, dialects, harmonize as hz, liftover as lo, qc
 from sumweave.operators.qcdata import af_density as density
+from sumweave.operators.sequence import windows_of
 from sumweave.queries import fixtures as fx
+from sumweave.session import scratch_path
+from sumweave.sources import delimited, sinks
 from sumweave.queries.base import alt_sql, comp, key_sql, query, ref_sql, rnd, sql_rnd
 
 TEXT = "string"
@@ -168,6 +171,24 @@ def qc_report(spark, sf):
     return qc.qc_report(df, {"chr_raw": "chr", "pval_raw": "pval"}, F.size(F.split("line", "\t")), skip=["line"])
 
 
+@query("qc_scanned", """
+    SELECT study_ord, count(*) AS n_before, count(*) FILTER (WHERE NOT short AND TRY_CAST(pval_raw AS DOUBLE) > 0 AND info >= 0.6
+        AND beta > -1e6 AND beta < 1e6 AND af_alt >= 0.001 AND 1 - af_alt >= 0.001 AND chr_raw NOT LIKE '%MT' AND NOT concat_ws(' ', chr_raw, ref, alt, pval_raw) LIKE '%NA%') AS n_after,
+      CASE WHEN bool_or(short) THEN 2 ELSE 1 END AS n_field_counts, NOT bool_or(short) AS is_square
+    FROM (SELECT *, study_ord % 2 = 0 AND l_linenumber = 7 AS short FROM fx_sumstats) GROUP BY study_ord""", ("fx_sumstats",))
+def qc_scanned(spark, sf):
+    # Text lines, of which studies with an even number have some that end before the last field.
+    fields = [F.col("study_ord").cast(TEXT), *[F.col(c).cast(TEXT) for c in ("chr_raw", "pos", "ref", "alt", "af_alt", "info", "beta", "se", "pval_raw")]]
+    short = (F.col("study_ord") % 2 == 0) & (F.col("l_linenumber") == 7)
+    line = F.concat(F.concat_ws("\t", *fields), F.when(short, "").otherwise(F.concat(F.lit("\t"), F.col("n").cast(TEXT))))
+    header = "study_ord\tchr_raw\tpos\tref\talt\taf_alt\tinfo\tbeta\tse\tpval_raw\tn"
+    path = scratch_path(spark, "lines")
+    sinks.with_header(fx.sumstats(spark, sf).select(line.alias("value")), header).write.text(path)
+    rows = delimited.scan_study(spark, path, count_fields=True).withColumn("study_ord", F.col("study_ord").cast("int"))
+    out = qc.qc_report(rows, {"chr_raw": "chr", "pval_raw": "pval"}, F.col("n_fields"), skip=["file_order", "study_ord", "n_fields"])
+    return out.select("study_ord", "n_before", "n_after", "n_field_counts", "is_square")
+
+
 @query("detect_build", """
     WITH c AS (SELECT m.study_ord, count(*) FILTER (build = 'b37') AS n_b37, count(*) FILTER (build = 'b38') AS n_b38
       FROM (SELECT * FROM munged WHERE NOT (study_ord = 3 AND chr = 21)) m
@@ -231,6 +252,61 @@ def liftover(spark, sf):
     return lifted(spark, sf).select(*LIFT_COLUMNS)
 
 
+@query("scan_chain", f"WITH {_LIFT} SELECT {', '.join(LIFT_COLUMNS)} FROM lifted", _LIFT_CTES)
+def scan_chain(spark, sf):
+    """The lift by way of a chain file: one chain for the forward blocks of a chromosome, one for each reverse block."""
+    blocks, size, q_size = fx.chain(spark, sf), 80, 1_000_000_000
+    names = lambda strand, s0, s1, q0, q1: F.concat_ws(
+        " ", F.lit("chain 1"), F.concat(F.lit("chr"), F.col("chr").cast(TEXT)), F.lit(f"{q_size} +"), s0.cast(TEXT), s1.cast(TEXT),
+        F.concat(F.lit("chr"), F.col("dst_chr").cast(TEXT)), F.lit(f"{q_size} {strand}"), q0.cast(TEXT), q1.cast(TEXT), F.lit("7"))
+    listed = blocks.filter("strand = '+'").groupBy("chr", "dst_chr").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("src_start").alias("s"), F.col("dst_start").alias("q")))).alias("b"))
+    following = lambda i, c: F.get(F.col("b"), i + 1)[c]
+    lines = F.transform("b", lambda x, i: F.when(i == F.size("b") - 1, F.lit(f"{size}")).otherwise(F.concat_ws(
+        "\t", F.lit(f"{size}"), (following(i, "s") - x["s"] - size).cast(TEXT), (following(i, "q") - x["q"] - size).cast(TEXT))))
+    last = F.element_at("b", -1)
+    forward = listed.select(F.concat(names("+", F.col("b")[0]["s"], last["s"] + size, F.col("b")[0]["q"], last["q"] + size),
+                                     F.lit("\n"), F.array_join(lines, "\n"), F.lit("\n")).alias("value"))
+    start = q_size - F.col("dst_start") - size
+    reverse = blocks.filter("strand = '-'").select(F.concat(
+        names("-", F.col("src_start"), F.col("src_end"), start, start + size), F.lit(f"\n{size}\n")).alias("value"))
+    path = scratch_path(spark, "chain")
+    forward.unionByName(reverse).write.text(path)
+    return lo.liftover(fx.munged(spark, sf), delimited.scan_chain(spark, path), bases(spark, sf)).select(*LIFT_COLUMNS)
+
+
+# A target sequence for indels on reverse blocks: runs of up to three equal bases.
+
+def sequence(spark, sf) -> DataFrame:
+    """The 280 bases up to the end of each reverse block."""
+    base = lambda p: F.substring(F.lit("ACGT"), ((F.floor(p / 3) * 7 + F.floor(p / 11) + F.col("chr")) % 4 + 1).cast("int"), F.lit(1))
+    start = F.col("dst_start") - 199
+    pieces = fx.chain(spark, sf).filter("strand = '-'").select(F.col("dst_chr").alias("chr"), start.alias("start"))
+    return windows_of(pieces.select("chr", "start", F.array_join(F.transform(F.sequence("start", F.col("start") + 279), base), "").alias("bases")))
+
+
+def _t(p: str) -> str:
+    return f"substr('ACGT', (({p}) // 3 * 7 + ({p}) // 11 + dst_chr) % 4 + 1, 1)"
+
+
+@query("lift_indels", f"""
+    WITH j AS (SELECT m.*, c.dst_chr, c.dst_start + 79 - (m.pos - 1 - c.src_start) + 1 AS e, length(m.ref) AS len,
+        {comp('substr(m.ref || m.alt, CASE WHEN length(m.ref) = 2 THEN 2 ELSE 3 END, 1)')} AS unit FROM munged m JOIN fx_chain c
+        ON m.chr = c.chr AND m.pos - 1 >= c.src_start AND m.pos - 1 < c.src_end WHERE c.strand = '-' AND length(m.ref) + length(m.alt) > 2),
+    k AS (SELECT *, {_t('e')} = {comp('substr(ref, 1, 1)')} AND (len = 1 OR {_t('e - 1')} = {comp('substr(ref, 2, 1)')}) AS ok,
+        list_filter(range(0, 60), lambda i: {_t('e - len - i')} <> unit)[1] AS s FROM
+        (SELECT * REPLACE (CASE WHEN len = 2 THEN {comp('substr(ref, 2, 1)')} ELSE {comp('substr(alt, 2, 1)')} END AS unit) FROM j))
+    SELECT study_ord, chr, pos, ref, alt, n, CASE WHEN ok THEN dst_chr END AS new_chr, CASE WHEN ok THEN e - len - s END AS new_pos,
+      CASE WHEN ok THEN {_t('e - len - s')} || CASE WHEN len = 2 THEN unit ELSE '' END END AS new_ref,
+      CASE WHEN ok THEN {_t('e - len - s')} || CASE WHEN len = 1 THEN unit ELSE '' END END AS new_alt,
+      CASE WHEN ok THEN 'OK' ELSE 'MismatchedRefAllele' END AS lift_status FROM k""", _LIFT_CTES)
+def lift_indels(spark, sf):
+    out = lo.liftover(fx.munged(spark, sf), fx.chain(spark, sf), windows=sequence(spark, sf))
+    v = F.expr("pos div 100")
+    turned = (v % 13 == 0) & (v % 19 != 0) & (F.length("ref") + F.length("alt") > 2)
+    return out.filter(turned).select("study_ord", "chr", "pos", "ref", "alt", "n", "new_chr", "new_pos", "new_ref", "new_alt", "lift_status")
+
+
 @query("lift_rejects", f"WITH {_LIFT} SELECT study_ord, chr, pos, ref, alt, n, lift_status FROM lifted WHERE lift_status <> 'OK'", _LIFT_CTES)
 def lift_rejects(spark, sf):
     return lo.lift_rejects(lifted(spark, sf)).select("study_ord", "chr", "pos", "ref", "alt", "n", "lift_status")

@@ -55,6 +55,17 @@ def qq_points(spark, sf):
     return out.select("p_col", "chr", "pos", "rank", rnd("expected").alias("expected"), rnd("observed").alias("observed"))
 
 
+@query("qq_thinned", f"""
+    WITH x AS (SELECT *, floor(-log10(pval) * 100 + 1e-9) AS bin, row_number() OVER (PARTITION BY p_col ORDER BY pval, chr, pos, ford) AS rank,
+        count(*) OVER (PARTITION BY p_col) AS n FROM {_LONG} WHERE pval > 0 AND pval < 1),
+    b AS (SELECT *, max(rank) OVER (PARTITION BY p_col, bin) AS upto FROM x)
+    SELECT p_col, rank, {sql_rnd('-log10((rank - 0.5) / n)')} AS expected, {sql_rnd('-log10(pval)')} AS observed
+    FROM b WHERE upto <= 1000 OR rank = upto""", ("munged",))
+def qq_thinned(spark, sf):
+    out = qcdata.qq_thinned(long_table(spark, sf), ties=("chr", "pos", "file_order"))
+    return out.select("p_col", "rank", rnd("expected").alias("expected"), rnd("observed").alias("observed"))
+
+
 _LL = "CASE WHEN l < 3 THEN l ELSE 3 * log10(l) / log10(3) END"
 
 

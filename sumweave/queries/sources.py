@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sumweave.operators import manifest
+from sumweave.operators.build import detect_build
+from sumweave.operators.liftover import export_sites
 from sumweave.queries import fixtures as fx
 from sumweave.queries.base import query
 from sumweave.session import scratch_path
-from sumweave.sources import config, delimited, sinks
+from sumweave.sources import blockgzip, config, delimited, regions, sinks
 
 RAW = {"chr_raw": "CHR", "pos": "POS", "ref": "REF", "alt": "ALT", "beta": "BETA", "se": "SE", "pval_raw": "p.value", "n": "N"}
 _TYPED = "SELECT chr_raw AS chr, pos, ref, alt, beta, se, pval_raw AS pval, n FROM fx_sumstats"
@@ -120,3 +122,52 @@ def scan_shortlist(spark, sf):
     path = scratch_path(spark, "shortlist")
     fx.shortlist(spark, sf).select(F.concat(F.lit("x "), F.translate("snp", ":", " ")).alias("value")).write.text(path)
     return delimited.scan_shortlist(spark, path)
+
+
+@query("scan_bgz", _TYPED, ("fx_sumstats",))
+def scan_bgz(spark, sf):
+    # Parts of several members each, read back by as many tasks.
+    path = scratch_path(spark, "bgz")
+    rows = fx.sumstats(spark, sf).select(*[F.col(c).cast("string").alias(name) for c, name in RAW.items()])
+    sinks.write_bgz(rows.repartition(4), path)
+    return _typed(delimited.scan_study(spark, f"{path}/*.bgz"))
+
+
+@query("write_single", """
+    SELECT '#CHR' || chr(9) || 'POS' || chr(9) || 'REF' || chr(9) || 'ALT' || chr(9) || 'N' AS line, true AS is_first UNION ALL
+    SELECT chr || chr(9) || pos || chr(9) || ref || chr(9) || alt || chr(9) || n, false FROM munged""", ("munged",))
+def write_single(spark, sf):
+    # One file under one header, written by all tasks in the order of the variants; every line of it is read back.
+    path = f"{scratch_path(spark, 'single')}.bgz"
+    rows = fx.munged(spark, sf).select(F.col("chr").alias("#CHR"), F.col("pos").alias("POS"), F.col("ref").alias("REF"), F.col("alt").alias("ALT"), F.col("n").alias("N"))
+    sinks.write_single(rows.repartitionByRange(6, "#CHR", "POS").sortWithinPartitions("#CHR", "POS"), path)
+    lines = blockgzip.scan_lines(spark, path).filter(F.col("value") != "")
+    return lines.select(F.col("value").alias("line"), (F.struct("block", "row") == F.struct(F.lit(-1).cast("long"), F.lit((1 << 63) - 1))).alias("is_first"))
+
+
+@query("scan_build_map", """
+    WITH c AS (SELECT m.study_ord, count(*) FILTER (build = 'b37') AS n_b37, count(*) FILTER (build = 'b38') AS n_b38
+      FROM (SELECT * FROM munged WHERE NOT (study_ord = 3 AND chr = 21)) m
+      LEFT JOIN fx_build b ON m.chr = b.chr AND m.pos = b.pos AND m.chr = 21 GROUP BY 1)
+    SELECT *, CASE WHEN n_b37 = 0 AND n_b38 = 0 THEN NULL WHEN n_b37 > n_b38 THEN 'b37' ELSE 'b38' END AS build FROM c""", ("munged", "fx_build"))
+def scan_build_map(spark, sf):
+    # Position lists as text, and of the stored studies only the files that hold such positions.
+    lists = {name: scratch_path(spark, name) for name in ("b37", "b38")}
+    for name, path in lists.items():
+        fx.build_map(spark, sf).filter(F.col("build") == name).select(
+            F.concat_ws("\t", F.col("chr").cast("string"), F.col("pos").cast("string")).alias("value")).write.text(path)
+    maps = delimited.scan_build_map(spark, lists)
+    stored = scratch_path(spark, "studies")
+    rows = fx.munged(spark, sf).filter("NOT (study_ord = 3 AND chr = 21)").select("study_ord", "chr", "pos")
+    sinks.write_indexed(rows, stored)
+    found = regions.scan_regions(spark, stored, regions.as_points(maps))
+    return detect_build(found, maps, studies=spark.read.parquet(stored).select("study_ord").distinct())
+
+
+@query("write_sites", """
+    SELECT c AS chrom, chr, pos, c||':'||pos||':'||ref||':'||alt AS id, ref, alt AS alt_list FROM (
+      SELECT *, 'chr' || CASE chr WHEN 23 THEN 'X' WHEN 24 THEN 'Y' ELSE chr::VARCHAR END AS c FROM munged WHERE chr <= 23)""", ("munged",))
+def write_sites(spark, sf):
+    path = scratch_path(spark, "sites")
+    sinks.write_sites(export_sites(fx.munged(spark, sf).filter("chr <= 23")), path)
+    return delimited.scan_sites(spark, f"{path}/*").drop("seq")

@@ -27,10 +27,9 @@ def write_indexed(df: DataFrame, path: str, by: Sequence[str] = ("chr",), place:
 
 
 def write_tsv(df: DataFrame, path: str, precision: int = 5, compression: str = "gzip") -> None:
-    """Text form with a header per part file, NA for missing values."""
-    from sumweave.operators.render import render
-
-    render(df, precision).write.mode("overwrite").csv(path, sep="\t", header=True, compression=compression, quote="")
+    """Text form with a header per part file, NA for missing values. Nothing is quoted, names with a # neither."""
+    lines, header = text_lines(df, precision)
+    with_header(lines, header).write.mode("overwrite").text(path, compression=compression)
 
 
 def write_bgz(df: DataFrame, path: str, precision: int = 5) -> None:

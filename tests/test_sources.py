@@ -242,3 +242,54 @@ def test_queries_list_files_and_show_the_configuration(spark):
     assert sorted(r["uri"] for r in files) == [f"part={i}/*.txt" for i in range(4)] and all(r["size"] > 0 and r["timed"] for r in files)
     config = QUERIES["study_config_json"](spark, "/root/testdata/sf0.001").first()["config"]
     assert config.startswith('{"name":"') and {"inventory_files", "study_config_json"} <= set(ORACLE)
+
+
+def test_text_tables_quote_nothing(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'a"b', 0.5), (2, None, None)], "`#CHR` int, x string, p double")
+    sinks.write_tsv(df, str(tmp_path / "t"), compression="none")
+    lines = sorted(r["value"] for r in spark.read.text(str(tmp_path / "t")).distinct().collect())
+    assert lines == ["#CHR\tx\tp", '1\ta"b\t5.e-01', "2\tNA\tNA"]
+
+
+def test_phenotypes_share_a_scan(spark, tmp_path):
+    from sumweave.plans.meta import run_metas
+
+    for name, beta in (("a", .1), ("b", -.2), ("c", .4)):
+        write_study(tmp_path / f"{name}.txt.gz", [(1, 10, "A", "C", .2, .9, beta, .1, .01, 1000, "e")])
+    a, b, c = (entry(n.upper() + "_EUR", tmp_path / f"{n}.txt.gz") for n in "abc")
+    configs = {"P": config.parse_config(json.dumps({"meta": [a, b]})), "Q": config.parse_config(json.dumps({"meta": [c, {**a, "n_cases": 7}]}))}
+    rules = lambda name: {"only_a": name.startswith("A"), "none": F.lit(False)}
+    out = run_metas(spark, configs, rules=rules, leave_one_out=True)
+    got = {(r.pheno, r.family): r for r in out.collect()}
+    assert set(got) == {(p, f) for p in "PQ" for f in ("all", "subset_only_a", "leave_0", "leave_1")}
+    assert got["P", "all"].beta == pytest.approx(-.05) and got["Q", "all"].beta == pytest.approx(.25)
+    assert got["P", "subset_only_a"].beta == pytest.approx(.1) and got["P", "subset_only_a"].n_cases == 100
+    assert got["Q", "subset_only_a"].n_cases == 7
+    assert got["Q", "leave_0"].left_study == "C_EUR" and got["Q", "leave_0"].beta == pytest.approx(.1)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [value") == 3
+
+
+def test_newest_by_time_before_name(spark):
+    from datetime import datetime
+
+    from sumweave.operators.manifest import pick_latest, with_modified
+
+    parsed = spark.createDataFrame([("s", "F1", "P", "old-date", "20210101", 0), ("s", "F1", "P", "new-date", "20220101", 1),
+                                    ("s", "F2", "P", "x", "20210101", 2), ("s", "F2", "P", "unknown", "20230101", 3)],
+                                   "dataset string, freeze string, pheno string, uri string, date string, seq int")
+    listed = spark.createDataFrame([("old-date", datetime(2024, 5, 1)), ("new-date", datetime(2023, 5, 1)), ("x", datetime(2020, 1, 1)),
+                                    ("x", datetime(2020, 2, 1))], "uri string, modified timestamp")
+    assert {(r.freeze, r.uri) for r in pick_latest(with_modified(parsed, listed)).collect()} == {("F1", "old-date"), ("F2", "x")}
+    assert {(r.freeze, r.uri) for r in pick_latest(parsed).collect()} == {("F1", "new-date"), ("F2", "unknown")}
+
+
+def test_thinned_qq_is_bounded(spark):
+    from sumweave.operators.qcdata import qq_thinned
+
+    long = spark.range(200_000).select(F.lit("p").alias("p_col"), ((F.col("id") + .5) / 200_000).alias("pval"), F.lit(1).alias("chr"), F.col("id").alias("pos"))
+    df = qq_thinned(long, bins=20, tail=50)
+    got = sorted(df.collect(), key=lambda r: r["rank"])
+    assert len(got) < 50 + 20 * 6 and [r["rank"] for r in got[:30]] == list(range(1, 31)) and got[-1]["rank"] == 200_000
+    assert all(r["expected"] == pytest.approx(r["observed"]) for r in got)
+    assert "Checkpoint" not in df._jdf.queryExecution().optimizedPlan().toString()
