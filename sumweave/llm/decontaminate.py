@@ -66,11 +66,11 @@ def hit_counts(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, windo
     sorted items whose windows occur. An item of fewer words than a window is one window; without words it has none.
 
     Null texts have no words; a null id is kept; repeated rows give as many rows; an empty benchmark hits nothing; other
-    columns are not read. Null item ids take no part.
+    columns are not read. The windows of an item without an id hit words, but name no item.
     """
     if not 1 <= gram <= window:
         raise ValueError("a k-gram has at least one word and at most a window's")
-    items = benchmark.where("item_id is not null").select("item_id", words(F.col("text")).alias("w")).where("size(w) > 0")
+    items = benchmark.select("item_id", words(F.col("text")).alias("w")).where("size(w) > 0")
     items = saved(spark, items, "items")
     lengths = sorted(r[0] for r in items.select(F.least(F.size("w"), F.lit(window))).distinct().collect())  # at most `window` rows
     keys = ["doc_id", "h"]

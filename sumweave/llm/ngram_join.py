@@ -34,22 +34,26 @@ MU = 0.01
 GROUP_GRAMS = 2 << 20
 
 
-def gram_sets(texts: list[bytes | None], gram: int) -> list[np.ndarray]:
-    """The sorted distinct n-gram hashes of each text (A-Z as a-z); all words as one if fewer; none without words."""
-    words, _, _, first = hashed_words(texts, lower=True)
-    hashes = run_hashes(words, gram)
-    out = []
+def gram_sets(texts: list[bytes | None], gram: int) -> tuple[list[np.ndarray], list[tuple[int, int]]]:
+    """The sorted distinct n-gram hashes of each text (A-Z as a-z), and 128 bits that stand for the set.
+
+    A text of fewer words has all of them as one n-gram; one without words has none. The second half of
+    the bits comes from another hash of every word.
+    """
+    words, _, _, first, others = hashed_words(texts, lower=True, both=True)
+    hashes, more = run_hashes(words, gram), run_hashes(others, gram)
+    sets, marks = [], []
     for low, high in zip(first[:-1].tolist(), first[1:].tolist()):
         if high - low >= gram:
-            out.append(np.unique(hashes[low:high - gram + 1]))
+            own, at = np.unique(hashes[low:high - gram + 1], return_index=True)
+            other = more[low + at]
+        elif high > low:
+            own, other = run_hashes(words[low:high], high - low), run_hashes(others[low:high], high - low)
         else:
-            out.append(run_hashes(words[low:high], high - low) if high > low else np.zeros(0, np.uint64))
-    return out
-
-
-def _mark(grams: np.ndarray) -> tuple[int, int]:
-    """128 bits that stand for a set."""
-    return tuple(int(x) for x in np.array([mix(grams).sum(dtype=np.uint64), second(grams).sum(dtype=np.uint64)]).view(np.int64))
+            own = other = np.zeros(0, np.uint64)
+        sets.append(own)
+        marks.append(tuple(int(x) for x in np.array([mix(own).sum(dtype=np.uint64), second(other).sum(dtype=np.uint64)]).view(np.int64)))
+    return sets, marks
 
 
 def needed(a: int, b, percent: int):
@@ -143,23 +147,38 @@ def _grams(column: pa.ChunkedArray) -> list[np.ndarray]:
     return [np.sort(np.frombuffer(x, "<u8")) for x in column.to_pylist()]
 
 
-def search_sets(docs: DataFrame, measured: DataFrame, gram: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+def classes_of(measured: DataFrame) -> DataFrame:
+    """(mark_a, mark_b, n_shingles, doc_id, node) of every class of equal sets, doc_id being the least in it.
+
+    The node is that id, too; where one id is the least of several classes, as it stands for several texts, all but
+    one of them get a node below zero from their marks.
+    """
+    classes = measured.where("n_shingles > 0 and doc_id is not null").groupBy("mark_a", "mark_b", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
+    firsts = classes.groupBy("doc_id").agg(F.min(F.struct("mark_a", "mark_b", "n_shingles")).alias("first"), F.count(F.lit(1)).alias("n"))
+    several = firsts.where("n > 1").select("doc_id", "first")
+    own = F.col("first").isNull() | (F.struct("mark_a", "mark_b", "n_shingles") == F.col("first"))
+    made = -1 - F.pmod(F.xxhash64("mark_a", "mark_b", "n_shingles"), F.lit(1 << 62))
+    return classes.join(several, "doc_id", "left").select(
+        "mark_a", "mark_b", "n_shingles", "doc_id", F.when(own, F.col("doc_id")).otherwise(made).alias("node"))
+
+
+def search_sets(docs: DataFrame, classes: DataFrame, gram: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, n, prefix, grams) of every class whose first n-grams some other class has, too."""
     chunks, buckets = X.sizes(docs, text_col)
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).where("doc_id is not null")
     parted = plain.select(chunk, "*").groupBy("chunk")
-    classes = measured.where("n_shingles > 0 and doc_id is not null").groupBy("mark_a", "mark_b", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
-    firsts = classes.select(chunk, "doc_id", "mark_a", "mark_b").groupBy("chunk")
+    firsts = classes.select(chunk, "doc_id", "mark_a", "mark_b", "node").groupBy("chunk")
 
-    def chosen(table: pa.Table, marks: dict) -> tuple[list[int], list[np.ndarray]]:
-        """The one document of each class that is in this chunk, in order."""
+    def chosen(table: pa.Table, nodes: dict) -> tuple[list[int], list[np.ndarray]]:
+        """The sets of the classes whose document is in this chunk, by their node, in order."""
         ids, texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
-        rows = [i for i, d in enumerate(ids) if d in marks]
+        wanted = {d for d, _, _ in nodes}
+        rows = [i for i, d in enumerate(ids) if d in wanted]
         taken = {}
-        for i, grams in zip(rows, gram_sets([texts[i] for i in rows], gram)):
-            if len(grams) and _mark(grams) == marks[ids[i]]:
-                taken[ids[i]] = grams
+        for i, grams, marks in zip(rows, *gram_sets([texts[i] for i in rows], gram)):
+            if len(grams) and (node := nodes.get((ids[i], *marks))) is not None:
+                taken[node] = grams
         return sorted(taken), [taken[d] for d in sorted(taken)]
 
     def ask(key: tuple, left: pa.Table, firsts: pa.Table) -> pa.Table:
@@ -167,15 +186,15 @@ def search_sets(docs: DataFrame, measured: DataFrame, gram: int, percent: int, i
         empty = pa.table({n: pa.array([], k) for n, k in zip(names, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))})
         if not firsts.num_rows or not left.num_rows:
             return empty
-        marks = {d: (a, b) for d, a, b in zip(*(firsts.column(n).to_pylist() for n in ("doc_id", "mark_a", "mark_b")))}
-        _, sets = chosen(left, marks)
+        nodes = {(d, a, b): n for d, a, b, n in zip(*(firsts.column(n).to_pylist() for n in ("doc_id", "mark_a", "mark_b", "node")))}
+        _, sets = chosen(left, nodes)
         if not sets:
             return empty
         who = firsts.column("chunk")[0].as_py()
         keys, counts = np.unique(X.keys_of(np.concatenate(sets), buckets), return_counts=True)
         rows = [(b, who, X.pack(X.low_bits(keys[s])), X.pack(counts[s].astype(np.uint32))) for b, s in X.slices(keys)]
         # Which documents stand for a class travels on to the step that reads the answers.
-        state = np.array([[d, *marks[d]] for d in sorted(marks)], dtype=np.int64)
+        state = np.array([[*key, nodes[key]] for key in sorted(nodes)], dtype=np.int64)
         rows.append((rows[0][0], who, None, X.pack(state.ravel())))
         return pa.table({n: pa.array(c, k) for n, c, k in zip(names, zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))})
 
@@ -202,8 +221,8 @@ def search_sets(docs: DataFrame, measured: DataFrame, gram: int, percent: int, i
         rows = []
         told = sorted(zip(told.column("bucket").to_pylist(), told.column("answer").to_pylist()))
         if told and left.num_rows:
-            state = X.unpack(told[0][1], np.int64).reshape(-1, 3)
-            ids, sets = chosen(left, {int(d): (int(a), int(b)) for d, a, b in state})
+            state = X.unpack(told[0][1], np.int64).reshape(-1, 4)
+            ids, sets = chosen(left, {(d, a, b): n for d, a, b, n in state.tolist()})
             often = np.concatenate([X.unpack(a, np.uint8) for b, a in told if b >= 0])
             all_keys = X.keys_of(np.concatenate(sets), buckets)
             level, low = often[np.searchsorted(np.unique(all_keys), all_keys)], 0
@@ -298,22 +317,26 @@ def similar_documents(spark: SparkSession, docs: DataFrame, gram: int = GRAM, pe
 
     component_id is the least doc_id reachable by links of at least the similarity; documents
     without words link with nothing and are their own component. A null doc_id has a null component
-    and links with nothing; repeated rows give as many rows; other columns are not read.
+    and links with nothing; repeated rows give as many rows, and of an id that stands for several texts
+    each text is a document; other columns are not read.
     """
     def measure(batches):
         for batch in batches:
-            sets = gram_sets(batch.column(1).to_pylist(), gram)
-            marks = [_mark(s) for s in sets]
+            sets, marks = gram_sets(batch.column(1).to_pylist(), gram)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([m[0] for m in marks], pa.int64()),
                  pa.array([m[1] for m in marks], pa.int64())], ["doc_id", "n_shingles", "mark_a", "mark_b"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     measured = X.saved(spark, source.mapInArrow(measure, "doc_id long, n_shingles long, mark_a long, mark_b long"), "measured")
-    sets = X.saved(spark, search_sets(docs, measured, gram, percent, id_col, text_col), "sets")
+    known = X.saved(spark, classes_of(measured), "known")
+    sets = X.saved(spark, search_sets(docs, known, gram, percent, id_col, text_col), "sets")
     found = link_groups(spark, sets, percent, group_grams)
-    classes = measured.where("n_shingles > 0 and doc_id is not null").groupBy("mark_a", "mark_b", "n_shingles").agg(F.min("doc_id").alias("head"))
-    classes = classes.join(found.select(F.col("doc_id").alias("head"), "component"), "head", "left").select(
-        "mark_a", "mark_b", "n_shingles", F.coalesce("component", "head").alias("component"))
+    classes = known.join(found.select(F.col("doc_id").alias("node"), F.col("component").alias("label")), "node", "left").withColumn(
+        "label", F.coalesce("label", "node"))
+    # A label is the least node of its component, which need not be an id.
+    odd = classes.where("node <> doc_id").select("label").distinct()
+    least = classes.join(odd, "label", "left_semi").groupBy("label").agg(F.min("doc_id").alias("least"))
+    classes = classes.join(least, "label", "left").select("mark_a", "mark_b", "n_shingles", F.coalesce("least", "label").alias("component"))
     return measured.join(classes, ["mark_a", "mark_b", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

@@ -36,7 +36,7 @@ SCALE = 2_000_000
 #: The language of texts without one.
 NO_LANG = "und"
 #: Bytes of text a task handles at once; a longer run of words without a break is handled whole.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Bits of a run's hash that are counted, and of the bitmap of frequent runs of one length (2**27 bits are 16 MB).
 KEY_BITS, MAP_BITS = 44, 27
 #: The best phrases of a language are picked from those of so many parts of it.

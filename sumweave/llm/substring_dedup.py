@@ -4,7 +4,7 @@ A passage of ``window`` words holds, wherever it starts, a whole block of ``bloc
 begins at a multiple of ``block`` in its own document (2 * block <= window + 1). So every document's
 blocks are indexed, all rolling windows of that length probe them, and a block is an anchor if a
 probe meets it elsewhere. Each anchor is extended over the passages that hold it, which are compared
-whole (96 bits and more of hash) and counted; the union of those that repeat is the maximal repeat.
+whole (96 bits and more, from two hashes of every word) and counted; the union of those that repeat is the maximal repeat.
 
 Work is linear: blocks and passages are counted per value, never paired, so a group of copies costs
 what its rows cost. Chunks of documents ask, buckets of hash values answer (see ``exchange``).
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sumweave.llm import exchange as X
-from sumweave.llm.words import hashed_words, inside, run_hashes, second
+from sumweave.llm.words import hashed_words, inside, run_hashes
 
 #: Words of a passage.
 WINDOW = 35
@@ -46,7 +46,7 @@ class _Chunk:
     """Words, blocks and probes of the documents of one chunk."""
 
     def __init__(self, texts: list[bytes | None], block: int, buckets: int):
-        self.words, self.starts, self.ends, self.first = hashed_words(texts)
+        self.words, self.starts, self.ends, self.first, self.more = hashed_words(texts, both=True)
         n = len(self.words)
         self.block, self.buckets = block, buckets
         self.at = np.arange(n) - np.repeat(self.first[:-1], np.diff(self.first))
@@ -71,7 +71,7 @@ class _Chunk:
         np.add.at(held, places + 1, -1)
         where = np.flatnonzero((np.cumsum(held)[:n] > 0) & inside(self.first, window))
         h = run_hashes(self.words, window)[where]
-        g = second(run_hashes(second(self.words), window)[where])
+        g = run_hashes(self.more, window)[where]
         return where, X.keys_of(h, self.buckets), g
 
 

@@ -1,8 +1,10 @@
 """Hashes of words and of runs of words, for many documents at once.
 
-Words are maximal runs of bytes other than the six ASCII white-space bytes. A word's hash is a
-polynomial of its bytes, taken from one prefix sum over a piece of text; a run's hash is the like
-polynomial of word hashes. Both are mixed at the end. All arithmetic is modulo 2**64.
+Words are maximal runs of bytes other than the six ASCII white-space bytes. A word's hash takes in its
+bytes eight at a time, each time mixed with multiplications and shifts, which no pattern of letters
+undoes (a plain polynomial modulo 2**64 of long words would be); very long words go through BLAKE2. The
+second hash of a word comes from its bytes, too, not from the first one. A run's hash is a polynomial
+of word hashes modulo 2**64 from prefix sums, mixed at the end; it is for runs of some tens of words.
 """
 
 from __future__ import annotations
@@ -26,7 +28,11 @@ def _odd(name: str) -> int:
     return int.from_bytes(hashlib.sha256(name.encode()).digest()[:8], "little") | 1
 
 
-_BYTE, _RUN, _MIX_A, _MIX_B, _SECOND = (np.uint64(_odd(x)) for x in ("byte", "run", "mix a", "mix b", "second"))
+_RUN, _MIX_A, _MIX_B, _SECOND = (np.uint64(_odd(x)) for x in ("run", "mix a", "mix b", "second"))
+#: For each of a word's two hashes the constants of its beginning and its mixing.
+_WORD = tuple(tuple(np.uint64(_odd(f"{x} {i}")) for x in ("length", "first", "then")) for i in range(2))
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 128
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -64,14 +70,45 @@ def _sums(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def _piece(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and hash of each word of one piece."""
+def _take_in(h: np.ndarray, block: np.ndarray, first: np.uint64, then: np.uint64) -> np.ndarray:
+    h = (h ^ block) * first
+    h = (h ^ (h >> np.uint64(32))) * then
+    h = (h ^ (h >> np.uint64(29))) * first
+    return h ^ (h >> np.uint64(32))
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, both: bool) -> list[np.ndarray]:
+    """The first, or both, 64-bit hashes of the words of one piece."""
+    lengths = ends - starts
+    kinds = _WORD if both else _WORD[:1]
+    out = [mix(lengths.astype(np.uint64) * k[0]) for k in kinds]
+    padded = np.zeros(len(data) + 8, dtype=np.uint8)
+    padded[:len(data)] = data
+    # Eight bytes from every byte on.
+    eights = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    at = np.flatnonzero(lengths <= LONG_WORD)
+    step = 0
+    while len(at):
+        left = lengths[at] - step
+        block = eights[starts[at] + step]
+        short = left < 8
+        block[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        for h, k in zip(out, kinds):
+            h[at] = _take_in(h[at], block, k[1], k[2])
+        at = at[left > 8]
+        step += 8
+    for i in np.flatnonzero(lengths > LONG_WORD).tolist():
+        digest = np.frombuffer(hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=16).digest(), "<u8")
+        for h, value in zip(out, digest):
+            h[i] = value
+    return out
+
+
+def _piece(data: np.ndarray, lower: bool, both: bool) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Start, end and hashes of each word of one piece."""
     edges = np.flatnonzero(np.diff(np.concatenate([[True], WHITE[data], [True]])))
     starts, ends = edges[0::2], edges[1::2]
-    power, inverse = _powers(_BYTE, len(data) + 1)
-    sums = _sums(((_LOWER[data] if lower else data).astype(np.uint64) + np.uint64(1)) * power[:-1])
-    h = (sums[ends] - sums[starts]) * inverse[starts]
-    return starts, ends, mix(h + (ends - starts).astype(np.uint64) * _SECOND)
+    return starts, ends, _word_hashes(_LOWER[data] if lower else data, starts, ends, both)
 
 
 def _cut(data: bytes) -> Iterator[tuple[int, int]]:
@@ -96,15 +133,16 @@ def _cut(data: bytes) -> Iterator[tuple[int, int]]:
     yield start, len(data)
 
 
-def hashed_words(texts: Iterable[bytes | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def hashed_words(texts: Iterable[bytes | None], lower: bool = False, both: bool = False) -> tuple[np.ndarray, ...]:
     """(hashes, starts, ends, first): the words of all texts one after another, their byte spans within
-    their text, and where each text's words begin (one more entry at the end). None has no words."""
+    their text, and where each text's words begin (one more entry at the end). None has no words.
+    With both, a second hash of each word comes last."""
     hashes, starts, ends, counts = [], [], [], []
 
     def flush(group: list[bytes]) -> None:
         joined = np.frombuffer(b"\n".join(group), np.uint8)
         offset = np.cumsum([0, *(len(x) + 1 for x in group)])
-        s, e, h = _piece(joined, lower)
+        s, e, h = _piece(joined, lower, both)
         owner = np.searchsorted(s, offset)
         n = np.diff(owner)
         shift = np.repeat(offset[:-1], n)
@@ -126,18 +164,19 @@ def hashed_words(texts: Iterable[bytes | None], lower: bool = False) -> tuple[np
             continue
         total = 0
         for low, high in _cut(text):
-            s, e, h = _piece(np.frombuffer(text, np.uint8)[low:high], lower)
+            s, e, h = _piece(np.frombuffer(text, np.uint8)[low:high], lower, both)
             hashes.append(h)
             starts.append(s + low)
             ends.append(e + low)
-            total += len(h)
+            total += len(s)
         counts.append(total)
     if group:
         flush(group)
     first = np.cumsum([0, *counts])
-    if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), first
-    return np.concatenate(hashes), np.concatenate(starts), np.concatenate(ends), first
+    none = [np.zeros(0, np.uint64)] * (1 + both)
+    columns = [np.concatenate(c) for c in zip(none, *hashes)]
+    spans = [np.concatenate([np.zeros(0, np.int64), *x]) for x in (starts, ends)]
+    return columns[0], *spans, first, *columns[1:]
 
 
 def run_hashes(words: np.ndarray, length: int) -> np.ndarray:

@@ -154,6 +154,35 @@ def test_similar_documents_odd_rows(spark):
     assert ngram_join.similar_documents(spark, df.limit(0)).count() == 0
 
 
+def doubling(n):
+    """Two words in which every polynomial hash modulo a power of two agrees, from some length on."""
+    a = b"a"
+    while len(a) < n:
+        a += a.translate(bytes.maketrans(b"ab", b"ba"))
+    return a.decode(), a.translate(bytes.maketrans(b"ab", b"ba")).decode()
+
+
+@pytest.mark.parametrize("n", [64, 128, 1024, 4096])
+def test_words_of_the_doubling_sequence(spark, n):
+    a, b = doubling(n)
+    first = words.hashed_words([f"{a} {b}".encode()], both=True)
+    assert first[0][0] != first[0][1] and first[4][0] != first[4][1]
+    common = " ".join(f"w{i}" for i in range(34))
+    rows = [(1, f"{a} {common}"), (2, f"{b} {common}"), (3, f"{a} {a} {b} {a} {b}"), (4, f"{b} {b} {a} {b} {a}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert counted(substring_dedup.digests(substring_dedup.remove_repeats(spark, df, 35))) == brute_repeats(rows, 35)
+    assert counted(ngram_join.similar_documents(spark, df)) == brute_components(rows)
+
+
+def test_one_id_of_several_texts(spark):
+    base = [f"x{i}" for i in range(40)]
+    near = " ".join([*base[:-1], "other"])
+    texts = {"A": "something else altogether in here", "B": " ".join(base), "C": "a third text that is like none"}
+    rows = [(1, texts["A"]), (1, texts["B"]), (1, texts["C"]), (2, near), (0, texts["C"].upper()), (7, texts["A"])]
+    got = counted(ngram_join.similar_documents(spark, spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == Counter([(1, 1, 1), (1, 36, 1), (1, 3, 0), (2, 36, 1), (0, 3, 0), (7, 1, 1)])
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 30), min_size=1, max_size=12), min_size=1, max_size=25))
 def test_divide_skip_finds_what_all_pairs_find(sets):
@@ -178,7 +207,7 @@ def brute_hits(docs, items, window=13):
     for i, t in items:
         w = split(t)
         for s in range(max(len(w) - window, 0) + 1 if w else 0):
-            known[tuple(w[s:s + window])].add(str(i))
+            known[tuple(w[s:s + window])] |= set() if i is None else {str(i)}
     out = []
     for d, t in docs:
         w, hit, found = split(t), set(), set()
@@ -204,6 +233,13 @@ def test_decontamination(spark):
     assert counted(decontaminate.report(spark, df, bench.limit(0))) == brute_hits(rows, [])
 
 
+def test_items_without_id_hit_words(spark):
+    docs = [(1, "x " + " ".join(f"w{i}" for i in range(13)) + " y"), (2, "none of it"), (3, "short item here")]
+    items = [(None, " ".join(f"w{i}" for i in range(13))), (None, "short item"), ("i", "item here")]
+    got = decontaminate.report(spark, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string"))
+    assert counted(got) == brute_hits(docs, items)
+
+
 def test_decontamination_uses_no_python(spark):
     df = decontaminate.report(spark, frame(spark, ["a " * 40])[1], spark.createDataFrame([(1, "a " * 20)], "item_id long, text string"))
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
@@ -393,3 +429,40 @@ def test_licence_calibration(spark):
     rows = license_scan.logits(held, model, ["family", "grams"]).collect()
     best = [(model.families[int(np.argmax(r["logits"]))] == r["family"]) for r in rows]
     assert np.mean(best) >= 0.85
+
+
+@pytest.mark.parametrize("text", [" " * 3_000_000, "\n" * 3_000_000, "x" + " " * 2_000_000 + "y", "\t \n" * 700_000 + "end", "\u3000" * 5000 + "a", "z" * 300_000])
+def test_byte_bpe_of_long_runs(text):
+    enc = byte_bpe.encoding(RANKS, PATTERN)
+    ids = byte_bpe.encode_text(enc, text)
+    assert byte_bpe.decode_ids(enc, ids) == text.encode()
+    # The library alone fails on very long runs; shorter ones it encodes alike.
+    few = text[:3000] + text[-3000:]
+    assert byte_bpe.encode_text(enc, few).tolist() == enc.encode_ordinary(few)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab1.' \n\t\x1c\xa0\u3000s", max_size=80), st.integers(4, 20))
+def test_byte_bpe_with_short_runs_cut_out(text, leaf):
+    enc, kept = byte_bpe.encoding(RANKS, PATTERN), byte_bpe._RUN
+    byte_bpe._RUN = re.compile(f"[{byte_bpe.SPACE}]{{3,}}")
+    try:
+        assert byte_bpe.encode_text(enc, text, leaf).tolist() == enc.encode_ordinary(text)
+    finally:
+        byte_bpe._RUN = kept
+
+
+def test_byte_bpe_of_another_pattern():
+    enc = byte_bpe.encoding(RANKS, r"\p{L}+|[^\p{L}]+")
+    text = "one, two  three\n" * 500
+    assert byte_bpe.encode_text(enc, text).tolist() == enc.encode_ordinary(text)
+
+
+def test_pipeline_keeps_every_text_of_an_id(spark):
+    import corpus_pipeline
+
+    base = [f"x{i}" for i in range(40)]
+    rows = [(1, "something else altogether in here"), (1, " ".join(base)), (1, " ".join(base)), (2, " ".join([*base[:-1], "y"])), (None, None), (3, "")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert Counter(r[:2] for r in kept.collect()) == Counter([rows[0], rows[1], rows[4], rows[5]])
