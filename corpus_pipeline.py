@@ -22,10 +22,11 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are similar, directly or over others, the one with the least id; repeated rows of it count once.
-    Documents without an id stay."""
+    Documents without an id stay, and so does every different text of an id that is the least of its group."""
     heads = ngram_join.similar_documents(spark, docs).where("doc_id = component_id").select("doc_id").distinct()
     alone = docs.where("doc_id is null")
-    return docs.join(heads, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]).union(alone)
+    kept = docs.join(heads, "doc_id", "left_semi").select(*docs.columns, F.sha2("text", 256).alias("_text"))
+    return kept.dropDuplicates(["doc_id", "_text"]).drop("_text").union(alone)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
