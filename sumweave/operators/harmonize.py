@@ -71,12 +71,40 @@ def _best(pre_aligned: bool) -> tuple[Column, Column]:
     return current, F.array_min(F.transform(cands, rank))["c"]
 
 
-def match_reference(df: DataFrame, ref: DataFrame, *, pre_aligned: bool = False,
-                    order: str | None = None) -> DataFrame:
-    """Orient every row like its best reference match and attach af_gnomad and filt_gnomad."""
-    candidates = _candidates(ref, pre_aligned, order)
-    keyed = df.withColumn("_key", reference_key(F.col("ref"), F.col("alt"), pre_aligned))
-    joined = keyed.join(candidates, ["pop", "chr", "pos", "_key"], "left")
+#: What rows and candidates meet by, and what both are bucketed by when stored.
+MEET = ["pop", "chr", "pos", "_key"]
+
+
+def _store(df: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+    (df.repartition(buckets, *MEET).write.mode("overwrite").option("path", path).bucketBy(buckets, *MEET).sortBy(*MEET).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
+def store_panel(ref: DataFrame, table: str, path: str, buckets: int, *, pre_aligned: bool = False, order: str | None = None,
+                passing_only: bool = False, min_an: int = 0) -> DataFrame:
+    """The panel's candidates, grouped and bucketed once: a join with them needs no exchange of the panel.
+
+    Give the result as ``stored`` to :func:`harmonize`, with the same ``pre_aligned``. One bucket is one
+    file, read and sorted by one task; choose as many as a study join should have tasks.
+    """
+    return _store(_candidates(usable_reference(ref, passing_only, min_an), pre_aligned, order), table, path, buckets)
+
+
+def store_studies(df: DataFrame, table: str, path: str, buckets: int, *, pre_aligned: bool = False) -> DataFrame:
+    """Study rows bucketed like the panel, with their key; joined to it, neither side is exchanged."""
+    return _store(df.withColumn("_key", reference_key(F.col("ref"), F.col("alt"), pre_aligned)), table, path, buckets)
+
+
+def match_reference(df: DataFrame, ref: DataFrame | None, *, pre_aligned: bool = False,
+                    order: str | None = None, stored: DataFrame | None = None) -> DataFrame:
+    """Orient every row like its best reference match and attach af_gnomad and filt_gnomad.
+
+    ``stored`` is a panel of :func:`store_panel` and takes the place of ``ref``.
+    """
+    candidates = _candidates(ref, pre_aligned, order) if stored is None else stored
+    keyed = df if "_key" in df.columns else df.withColumn("_key", reference_key(F.col("ref"), F.col("alt"), pre_aligned))
+    df = df.drop("_key")
+    joined = keyed.join(candidates, MEET, "left")
     current, best = _best(pre_aligned)
     joined = joined.withColumn("_current", current).withColumn("_best", F.when(F.col("_cands").isNotNull(), best))
     found = F.col("_best").isNotNull()
@@ -116,17 +144,19 @@ def resolve_duplicates(df: DataFrame, by: str = "study_ord", order: str = "file_
     return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def harmonize(df: DataFrame, ref: DataFrame, *, by: str = "study_ord", require_ref: bool = False,
+def harmonize(df: DataFrame, ref: DataFrame | None, *, by: str = "study_ord", require_ref: bool = False,
               passing_only: bool = False, min_an: int = 0, max_abs_diff: float = 1.0, pre_aligned: bool = False,
               keep_best_duplicate: bool = False, n_total: int | None = None, order: str = "file_order",
-              ref_order: str | None = None) -> DataFrame:
+              ref_order: str | None = None, stored: DataFrame | None = None) -> DataFrame:
     """Harmonise studies to the reference population named in each row's ``pop``.
 
     Adds af_gnomad, af_fc, filt_gnomad (NA where unmatched) and Ntotal. Duplicates are resolved
-    before the reference and difference filters, which then judge the row that is left.
+    before the reference and difference filters, which then judge the row that is left. With
+    ``stored``, a panel of :func:`store_panel`, ``ref`` is None and the filters on the panel are those of
+    its storing.
     """
-    panel = usable_reference(ref, passing_only, min_an)
-    matched = match_reference(df, panel, pre_aligned=pre_aligned, order=ref_order)
+    panel = None if ref is None else usable_reference(ref, passing_only, min_an)
+    matched = match_reference(df, panel, pre_aligned=pre_aligned, order=ref_order, stored=stored)
     compared = af_compare(F.col("af_alt"), F.col("af_gnomad"))
     full = (matched.withColumns(compared).withColumn("Ntotal", total_n(df, n_total))
             .withColumn("filt_gnomad", F.coalesce("filt_gnomad", F.lit("NA"))))

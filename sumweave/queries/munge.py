@@ -389,6 +389,21 @@ def harmonize(spark, sf):
     return hz_shown(hz.harmonize(with_pop(spark, sf), fx.reference(spark, sf)))
 
 
+def _stored(spark, sf, buckets: int = 8, both: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The studies and the panel as tables bucketed alike."""
+    name = scratch_path(spark, "panel")
+    table = "panel_" + name[-32:]
+    panel = hz.store_panel(fx.reference(spark, sf), table, name, buckets)
+    rows = with_pop(spark, sf)
+    return (hz.store_studies(rows, f"{table}_studies", f"{name}-studies", buckets) if both else rows), panel
+
+
+@query("harmonize_stored", f"WITH {harmonize_sql()} {HZ_SELECT} FROM uq", HZ_CTES)
+def harmonize_stored(spark, sf):
+    rows, panel = _stored(spark, sf)
+    return hz_shown(hz.harmonize(rows, None, stored=panel))
+
+
 @query("dedup_discard", f"WITH {harmonize_sql(pre_aligned=True)} {HZ_SELECT} FROM uq", HZ_CTES)
 def dedup_discard(spark, sf):
     return hz_shown(hz.harmonize(with_pop(spark, sf), fx.reference(spark, sf), pre_aligned=True))

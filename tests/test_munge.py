@@ -212,3 +212,24 @@ def test_rollup_routes():
     routes = {(t, s): (via, rank) for t, s, via, rank in cohorts._routes()}
     assert routes[("B2", "A1")][0] == ["A2"] or set(routes[("B2", "A1")][0]) >= {"A2"}
     assert [s for t, s, _, rank in sorted(cohorts._routes(), key=lambda r: r[3]) if t == "C2"] == ["C1", "B2", "B1", "A2", "A1"]
+
+
+@pytest.mark.parametrize("both", [True, False])
+def test_stored_panel_is_not_exchanged(spark, both):
+    import os
+
+    from sumweave.operators.harmonize import match_reference
+    from sumweave.queries.munge import _stored
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables not present")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows, panel = _stored(spark, sf, both=both)
+        df = match_reference(rows, None, stored=panel)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == (0 if both else 1) and "SortMergeJoin" in plan and "Bucketed: true" in plan
+        assert df.count() == rows.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -267,7 +267,37 @@ def test_phenotypes_share_a_scan(spark, tmp_path):
     assert got["Q", "subset_only_a"].n_cases == 7
     assert got["Q", "leave_0"].left_study == "C_EUR" and got["Q", "leave_0"].beta == pytest.approx(.1)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation [value") == 3
+    assert plan.count("Relation [value") == 0 and plan.count("Relation [file_id") == 3  # stored rows, headers and places
+
+
+def test_two_hundred_headers_one_scan(spark, tmp_path):
+    import gzip as gz
+
+    from sumweave.sources import blockgzip
+    from sumweave.sources.staged import Source, _lines, scan_files
+
+    sources, want = [], []
+    for i in range(200):
+        names = ["#CHR", "POS", f"BETA{i % 3}", "junk"]
+        names = names[i % 4:] + names[:i % 4]
+        rows = [{"#CHR": str(i % 22 + 1), "POS": str(k), f"BETA{i % 3}": "" if k == 1 else f"{k}.{i}", "junk": "j"} for k in range(i % 5)]
+        sep = " " if i % 7 == 0 else "\t"
+        if sep == " ":
+            rows = [r for r in rows if "" not in r.values()]
+        text = "##made up\n" * (i % 2) + sep.join(names) + "\n" + "".join(sep.join(r[n] for n in names) + "\n" for r in rows)
+        path = tmp_path / (f"s +{i}.txt" if i % 3 == 0 else f"s{i}.txt.gz" if i % 3 == 1 else f"s{i}.bgz")
+        path.write_bytes(text.encode() if i % 3 == 0 else gz.compress(text.encode()) if i % 3 == 1 else
+                         b"".join(blockgzip.members(iter(text.encode().split(b"\n")[:-1]))) + blockgzip.END)
+        sources.append(Source(i, str(path), {"chr": "#CHR", "pos": "POS", "effect": f"BETA{i % 3}", **({"more": "nope"} if i == 4 else {})}, sep == "\t"))
+        want += [(i, r["#CHR"], r[f"BETA{i % 3}"] or None, r["POS"]) for r in rows]
+    df = scan_files(spark, sources, optional=["more"])
+    got = [(r["file_id"], r["chr"], r["effect"], r["pos"]) for r in df.orderBy("file_id", "file_order").collect()]
+    assert got == want
+    plan = _lines(spark, [s.path for s in sources if not s.path.endswith(".bgz")])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [value") == 1
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") <= 4
+    with pytest.raises(Exception, match="lacks column nope"):
+        scan_files(spark, sources).collect()
 
 
 def test_newest_by_time_before_name(spark):
