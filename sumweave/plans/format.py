@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sumweave.operators.dialects import normalize
+from sumweave.operators.dialects import CANONICAL, col, normalize
 from sumweave.sources.delimited import scan_study
 
 
@@ -33,9 +33,9 @@ def format_studies(spark: SparkSession, entries: Sequence[Entry]) -> DataFrame:
         raise ValueError("the manifest is empty")
     tables = []
     for entry in entries:
-        rows = scan_study(spark, entry.path, tab_only=entry.tab_only, count_fields=True)
-        tables.append(normalize(rows, entry.dialect).withColumns(
-            {"study_ord": F.lit(entry.study_ord), "pop": F.lit(entry.pop)}))
+        rows = normalize(scan_study(spark, entry.path, tab_only=entry.tab_only, count_fields=True), entry.dialect)
+        # Some dialects work values out: text again, so that a union does not turn the others' texts into numbers.
+        tables.append(rows.withColumns({**{c: col(c).cast("string") for c in CANONICAL}, "study_ord": F.lit(entry.study_ord), "pop": F.lit(entry.pop)}))
     whole = tables[0]
     for table in tables[1:]:
         whole = whole.unionByName(table)
