@@ -161,9 +161,11 @@ def order_violations(df: DataFrame, by: Sequence[str] = ("study_ord",), order: s
     The work is cut into blocks of the file order so that one large study does not fall to one
     task: violations inside a block are counted there, and the blocks' first and last rows are then
     compared in a table with one row per block. ``block`` names a column that does not decrease
-    along ``order``, such as the block start of a scan; without it a study is one block.
+    along ``order``, such as the block start of a scan; without it the rows are cut by ranges of ``order``.
     """
-    block_col = F.col(block) if block else F.lit(0)
+    if block is None:
+        df = df.repartitionByRange(*by, order)
+    block_col = F.col(block) if block else F.spark_partition_id()
     place = F.struct("chr", "pos")
     keyed = df.select(*by, F.col(order).alias("_order"), block_col.alias("_block"), place.alias("_place"))
     w = Window.partitionBy(*by, "_block").orderBy("_order")

@@ -152,6 +152,14 @@ def lift_back(df: DataFrame, chain: DataFrame) -> DataFrame:
         *rest, F.col("chr").alias("anew_chr"), F.col("pos").alias("anew_pos"))
 
 
+def bed_interval(df: DataFrame) -> DataFrame:
+    """The half-open, 0-based interval of every variant, ``chrom, start, end``, as long as its longer allele; then its columns."""
+    from sumweave.functions.values import chrom_label
+
+    span = F.greatest(F.length("ref"), F.length("alt"))
+    return df.select(chrom_label(F.col("chr")).alias("chrom"), (F.col("pos") - 1).alias("start"), (F.col("pos") + span - 1).alias("end"), *df.columns)
+
+
 def export_sites(df: DataFrame) -> DataFrame:
     """The study's sites in VCF column order, ready for a text sink."""
     from sumweave.functions.values import chrom_label

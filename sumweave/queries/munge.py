@@ -200,6 +200,20 @@ def detect_build(spark, sf):
     return build.detect_build(fx.munged(spark, sf).filter("NOT (study_ord = 3 AND chr = 21)"), fx.build_map(spark, sf))
 
 
+@query("order_by_ranges", """
+    SELECT study_ord, count(*) AS n_rows, count(*) FILTER (chr < pc OR (chr = pc AND pos < pp)) AS n_violations FROM (
+      SELECT *, lag(chr) OVER w AS pc, lag(pos) OVER w AS pp FROM munged WINDOW w AS (PARTITION BY study_ord ORDER BY ford))
+    GROUP BY study_ord""", ("munged",))
+def order_by_ranges(spark, sf):
+    return align.order_violations(fx.munged(spark, sf))
+
+
+@query("bed_intervals", """SELECT 'chr' || CASE chr WHEN 23 THEN 'X' WHEN 24 THEN 'Y' WHEN 25 THEN 'M' ELSE chr::VARCHAR END AS chrom, pos - 1 AS "start",
+    pos + greatest(length(ref), length(alt)) - 1 AS "end", ref, alt, n FROM munged""", ("munged",))
+def bed_intervals(spark, sf):
+    return lo.bed_interval(fx.munged(spark, sf)).select("chrom", "start", "end", "ref", "alt", "n")
+
+
 @query("order_violations", """
     SELECT study_ord, count(*) AS n_rows, count(*) FILTER (chr < pc OR (chr = pc AND pos < pp)) AS n_violations FROM (
       SELECT *, lag(chr) OVER w AS pc, lag(pos) OVER w AS pp FROM munged WINDOW w AS (PARTITION BY study_ord ORDER BY ford))

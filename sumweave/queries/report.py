@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sumweave.functions import values
 from sumweave.functions.numeric import chi2_quantile_1df
 from sumweave.operators import annotate, qcdata
 from sumweave.queries import fixtures as fx
 from sumweave.queries.base import query, rnd, sql_rnd, sql_z
+from sumweave.session import scratch_path
 
 
 def p_table(spark, sf) -> DataFrame:
@@ -46,6 +48,41 @@ def lambda_gc(spark, sf):
     return qcdata.lambda_gc(long_table(spark, sf))
 
 
+@query("lambda_text", f"""
+    WITH x AS (SELECT p_col, {sql_z('pval')} AS z FROM {_LONG} WHERE pval IS NOT NULL),
+    c AS (SELECT p_col, quantile_cont(z * z, [0.7, 0.5, 0.1, 0.01, 0.001]) AS v FROM x GROUP BY p_col),
+    e AS (SELECT * FROM (VALUES {_Q}) t(quantile, expected)),
+    i AS (SELECT p_col, unnest(v) AS v, unnest([0.7, 0.5, 0.1, 0.01, 0.001]) AS quantile FROM c)
+    SELECT p_col, string_agg(i.quantile::DOUBLE || ':' || round(v / expected, 3), ' ' ORDER BY i.quantile DESC) AS text
+    FROM i JOIN e ON i.quantile = e.quantile GROUP BY p_col""", ("munged",))
+def lambda_text(spark, sf):
+    # Written as one line per p-value column, and read back.
+    path = scratch_path(spark, "lambda")
+    qcdata.lambda_text(qcdata.lambda_gc(long_table(spark, sf))).write.partitionBy("p_col").text(path)
+    return spark.read.text(path).select("p_col", F.col("value").alias("text"))
+
+
+@query("plot_chrom", """
+    SELECT chr_raw, CASE WHEN chr_raw LIKE '%MT' THEN 25 WHEN chr_raw LIKE '%X' THEN 23
+      WHEN chr_raw LIKE '%Y' THEN 24 ELSE replace(chr_raw, 'chr', '')::INTEGER END AS chr, count(*) AS n FROM fx_sumstats GROUP BY ALL""", ("fx_sumstats",))
+def plot_chrom(spark, sf):
+    df = fx.sumstats(spark, sf).groupBy("chr_raw").agg(F.count("*").alias("n"))
+    return df.select("chr_raw", values.plot_chrom(F.col("chr_raw")).alias("chr"), "n")
+
+
+def _scientific(x: str, digits: int) -> str:
+    return f"CASE WHEN {x} IS NULL THEN 'NA' ELSE regexp_replace(format('{{:.{digits}e}}', {x}), '0+e', 'e') END"
+
+
+@query("scientific", f"""
+    SELECT l_orderkey, l_linenumber, pos, {_scientific('af_alt', 5)} AS af, {_scientific('-beta', 5)} AS beta, {_scientific('se / 7', 5)} AS se,
+      {_scientific('pv', 3)} AS p FROM (SELECT *, TRY_CAST(pval_raw AS DOUBLE) / 9973 AS pv FROM fx_sumstats)""", ("fx_sumstats",))
+def scientific(spark, sf):
+    p = F.col("pval_raw").try_cast("double") / 9973
+    shown = {"af": (F.col("af_alt"), 5), "beta": (-F.col("beta"), 5), "se": (F.col("se") / 7, 5), "p": (p, 3)}
+    return fx.sumstats(spark, sf).select("l_orderkey", "l_linenumber", "pos", *[values.scientific(c, n).alias(k) for k, (c, n) in shown.items()])
+
+
 @query("qq_points", f"""
     WITH x AS (SELECT *, row_number() OVER (PARTITION BY p_col ORDER BY pval, chr, pos, ford) AS rank, count(*) OVER (PARTITION BY p_col) AS n
       FROM {_LONG} WHERE pval > 0 AND pval < 1)
