@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 #: Fixed values of HTML: elements without an end tag, with raw text, never shown, on lines of their own, and with an empty line around.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
-HIDDEN = frozenset("head script style template noscript iframe object svg math canvas audio video select datalist noembed noframes title meta link".split())
+HIDDEN = frozenset("""head script style template noscript iframe canvas audio video datalist noembed noframes title meta link
+ desc defs metadata symbol annotation annotation-xml""".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
  h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table ul""".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure article section main hr".split())
@@ -32,8 +34,10 @@ _CLOSES = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)),
 #: Parts of a table, whose end tags close what is open in a cell; and elements that other end tags do not close.
 _PARTS = frozenset("caption thead tbody tfoot tr td th".split())
 _FENCE = frozenset("table td th caption html template".split())
-#: Nested deeper than this, elements become siblings.
+#: Nested deeper than this, what is shown is laid out as if it stood at this depth; what is hidden stays hidden.
 DEPTH = 200
+#: Ends the line of a block that is laid out so.
+_END = "#end"
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"']|[\"'](?![^>]*>))*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -56,6 +60,8 @@ class Node:
     def hidden(self) -> bool:
         if self.tag in HIDDEN:
             return True
+        if self.tag == "dialog" and self.get("open") is None:
+            return True
         text = self.attributes
         if not text or not re.search("hidden|style", text, re.I):
             return False
@@ -67,15 +73,32 @@ def parse(html: str) -> Node:
     """The tree of a page; text nodes are strings."""
     root = Node("html")
     stack, at = [root], 0
+    opened: Counter[str] = Counter()
 
     def text(data: str) -> None:
         if data:
             stack[-1].children.append(unescape(data) if "&" in data else data)
 
+    def push(node: Node) -> None:
+        if len(stack) >= DEPTH and not node.hidden():
+            # What it holds goes to its parent, where the node itself leaves the borders of its lines only.
+            node.children = stack[-1].children
+            node.children.pop()
+            if node.tag in BLOCK or node.tag in _PARTS:
+                node.children.append(Node(_END))
+        stack.append(node)
+        opened[node.tag] += 1
+
     def close(tags, limits) -> None:
+        if not any(opened[t] for t in tags):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in tags:
-                del stack[i:]
+                while len(stack) > i:
+                    node = stack.pop()
+                    opened[node.tag] -= 1
+                    if node.children is stack[-1].children and (node.tag in BLOCK or node.tag in _PARTS):
+                        node.children.append(Node(_END))
                 return
             if stack[i].tag in limits:
                 return
@@ -96,7 +119,7 @@ def parse(html: str) -> Node:
         if not tag:
             continue
         if found[1]:
-            if tag == "p" and not any(n.tag == "p" for n in stack):
+            if tag == "p" and not opened["p"]:
                 stack[-1].children.append(Node("p"))
             elif tag == "br":
                 stack[-1].children.append(Node("br"))
@@ -117,8 +140,7 @@ def parse(html: str) -> Node:
             node.children.append(unescape(raw) if tag in ("textarea", "title") else raw)
             at = end.end() if end else len(html)
             continue
-        if len(stack) < DEPTH:
-            stack.append(node)
+        push(node)
     return root
 
 
@@ -179,48 +201,75 @@ def _inside(node: Node) -> list[str]:
     return layout.lines
 
 
+def _span(cell: Node, name: str, left: int) -> int:
+    """How many columns or rows a cell takes; 0 rows are all that are left of the group."""
+    value = cell.get(name) or "1"
+    if not value.isdigit():
+        return 1
+    return min(int(value), 1000) if int(value) else left if name == "rowspan" else 1
+
+
 def _table(node: Node) -> list[str]:
-    """Rows with their cells padded to the columns' widths; a cell that spans columns starts at its own."""
-    rows, lines = [], []
+    """Rows with their cells padded to the columns' widths. A cell that spans columns starts at its own, one that
+    spans rows stands in its first; what is in a table or a row, but in no cell, comes before the table."""
+    groups, lines = [[]], []
+
+    def outside(part) -> None:
+        if isinstance(part, str):
+            if part.strip():
+                lines.append(" ".join(part.split()))
+        elif not part.hidden() and part.children:
+            lines.extend(_inside(part))
 
     def walk(part: Node) -> None:
         for child in part.children:
-            if isinstance(child, str):
-                if child.strip():
-                    lines.append(" ".join(child.split()))
-            elif child.hidden():
-                continue
+            if isinstance(child, str) or child.hidden():
+                outside(child)
             elif child.tag == "tr":
-                rows.append([c for c in child.children if isinstance(c, Node) and not c.hidden()])
-            elif child.tag in ("thead", "tbody", "tfoot", "colgroup"):
+                cells = [c for c in child.children if isinstance(c, Node) and c.tag in ("td", "th")]
+                for other in child.children:
+                    if isinstance(other, str) or other.tag not in ("td", "th"):
+                        outside(other)
+                groups[-1].append(cells)
+            elif child.tag in ("thead", "tbody", "tfoot"):
+                groups.append([])
                 walk(child)
+                groups.append([])
             elif child.tag in ("td", "th"):  # cells without a row
-                rows.append([child])
+                groups[-1].append([child])
             else:
-                lines.extend(_inside(child) if child.tag == "caption" or child.children else [])
+                outside(child)
 
     walk(node)
-    cells, widths = [], []
-    for row in rows:
-        at, out = 0, []
-        for cell in row:
-            span = cell.get("colspan") or "1"
-            span = min(int(span), 1000) if span.isdigit() and int(span) > 0 else 1
-            text = [x for x in _inside(cell) if x] or [""]
-            out.append((at, text))
-            if span == 1:
-                widths.extend([0] * (at + 1 - len(widths)))
-                widths[at] = max(widths[at], *(width(x) for x in text))
-            at += span
-        cells.append(out)
-    for out in cells:
+    rows, widths = [], []
+    for group in groups:
+        taken: dict[int, int] = {}  # rows that a column is still taken for
+        for r, row in enumerate(group):
+            at, out, below = 0, [], {c: n - 1 for c, n in taken.items() if n > 1}
+            for cell in row:
+                while taken.get(at):
+                    at += 1
+                span, down = _span(cell, "colspan", 1), _span(cell, "rowspan", len(group) - r)
+                # A hidden cell takes no place.
+                if cell.hidden():
+                    continue
+                text = [x for x in _inside(cell) if x] or [""]
+                out.append((at, text))
+                if span == 1:
+                    widths.extend([0] * (at + 1 - len(widths)))
+                    widths[at] = max(widths[at], *(width(x) for x in text))
+                if down > 1:
+                    below.update(dict.fromkeys(range(at, at + span), down - 1))
+                at += span
+            taken = below
+            rows.append(out)
+    for out in rows:
         for i in range(max((len(text) for _, text in out), default=0)):
-            line, edge = "", 0
+            line = ""
             for at, text in out:
-                edge = sum(widths[:at]) + 3 * at
                 part = text[i] if i < len(text) else ""
                 if at:
-                    line += " " * max(0, edge - 3 - width(line)) + " | "
+                    line += " " * max(0, sum(widths[:at]) + 3 * at - 3 - width(line)) + " | "
                 line += part
             lines.append(line.rstrip())
     return lines
@@ -230,8 +279,11 @@ def _children(node: Node, layout: Layout) -> None:
     number = 1
     if node.tag == "ol" and (node.get("start") or "").lstrip("-").isdigit():
         number = int(node.get("start"))
+    closed = node.tag == "details" and node.get("open") is None
     for child in node.children:
         if isinstance(child, str):
+            if closed:
+                continue
             if node.tag == "pre":
                 for i, line in enumerate(child.split("\n")):
                     if i:  # empty lines in a row count as one
@@ -243,7 +295,11 @@ def _children(node: Node, layout: Layout) -> None:
         if child.hidden():
             continue
         tag = child.tag
-        if tag == "br":
+        if closed and tag != "summary":
+            continue
+        if tag == _END:
+            layout.end()
+        elif tag == "br":
             had = bool(layout.line.strip())
             layout.end(0 if had else 1)
         elif tag == "img":

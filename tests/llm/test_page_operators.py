@@ -56,6 +56,65 @@ def test_rendering(html, text):
     assert html_render.render(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<svg><title>no</title><text>drawn</text><defs>no</defs></svg> <math><mi>x</mi><mo>+</mo><mn>1</mn></math>", "drawn x+1"),
+    ("<select><option>one<option selected>two</select>", "one\ntwo"), ("<object data=x>instead</object>", "instead"),
+    ("<dialog>no</dialog><dialog open>yes</dialog>", "yes"), ("<details><summary>s</summary>no<p>no</details>", "s"), ("<details open><summary>s</summary>y</details>", "s\ny"),
+    ("<table><tr>stray<td>a</td><b>bold</b><td>b</table>", "stray\nbold\na | b"),
+    ("<table><tr><td rowspan=2>a<td>b<td>c<tr><td>dd<td>e<tr><td>f<td>g<td>h</table>", "a | b  | c\n  | dd | e\nf | g  | h"),
+    ("<table><tbody><tr><td rowspan=9>a<td>b<tbody><tr><td>c<td>d</table>", "a | b\nc | d"),
+    ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a | b\n  | c\n  | d"),
+    ("<table><tr><td colspan=2 rowspan=2>wide<td>x<tr><td>y</table>", "wide | x\n     | y"),
+])
+def test_all_visible_text(html, text):
+    got = html_render.render(html)
+    # Columns that only spanning cells fill have no width of their own.
+    assert [line.split() for line in got.split("\n")] == [line.split() for line in text.split("\n")]
+    if "colspan" not in html:
+        assert got == text
+
+
+def made(rng, depth, shown, out):
+    """A random page, built with the words that it shows."""
+    html = ""
+    for _ in range(rng.randint(1, 4)):
+        word = f"w{rng.randint(0, 10**9)}"
+        kind = rng.random()
+        if kind < .35 or depth > 6:
+            html += f" {word} "
+            out.extend([word] * shown)
+        elif kind < .5:
+            hide = rng.choice(["hidden", "style='display:none'", "aria-hidden=true", 'style="color:red; visibility: hidden"'])
+            html += f"<{(t := rng.choice(['div', 'span', 'em', 'section']))} {hide}>" + made(rng, depth + 1, False, out) + f"</{t}>"
+        elif kind < .6:
+            t = rng.choice(["script", "style", "template", "noscript", "dialog", "datalist"])
+            html += f"<{t}> {word} </{t}>"
+        elif kind < .7:
+            rows = [[f"c{rng.randint(0, 10**9)}" for _ in range(rng.randint(1, 3))] for _ in range(rng.randint(1, 3))]
+            html += "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows) + "</table>"
+            out.extend(c for r in rows for c in r * shown)
+        elif kind < .78:
+            html += "<ul>" + "".join("<li>" + made(rng, depth + 1, shown, out) + rng.choice(["", "</li>"]) for _ in range(2)) + "</ul>"
+        else:
+            t = rng.choice(["div", "span", "b", "section", "article", "select", "object", "svg", "blockquote", "h2", "a", "dialog open"])
+            html += f"<{t}>" + made(rng, depth + 1, shown, out) + f"</{t.split()[0]}>"
+    return html
+
+
+@pytest.mark.parametrize("seed", range(60))
+@pytest.mark.parametrize("deep", [0, 400])
+def test_visible_words_of_made_pages(seed, deep):
+    words = []
+    html = "<div>" * deep + made(random.Random(seed), 0, True, words) + "</div>" * deep
+    assert [w for w in html_render.render(html).split() if w[0] in "wc"] == words
+
+
+def test_hidden_parts_of_deep_pages():
+    assert html_render.render("<div>" * 500 + "<p hidden>secret<b>secret</b></p>shown" + "<div style='display:none'>" + "<i>" * 300 + "secret") == "shown"
+    assert html_render.render("<div>" * 300 + "<div>a</div><div>b</div>c") == "a\nb\nc"
+    assert html_render.render("<ul><li>" * 30_000 + "x").split() == ["-"] * (html_render.render("<ul><li>" * 30_000 + "x").split().count("-")) + ["x"]
+
+
 def test_rendering_of_deep_and_long_pages():
     assert html_render.render("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
     assert html_render.render("<ul><li>" * 3000 + "x").strip().endswith("x")
