@@ -79,6 +79,8 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     rows = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     # Equal rows are judged once and given back as often as they came.
     once = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("times"))
+    # Urls are short and expand to many expressions: a number of tasks of its own, as their bytes would give one.
+    once = once.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
     pairs = once.select("*", F.explode_outer(_suffixes(F.col("host"), deepest["labels"] or 1)).alias("e_host"))
     pairs = pairs.select("*", F.explode_outer(_prefixes(F.col("path"), deepest["slashes"] or 1)).alias("e_path"))
     pairs = pairs.withColumn("digest", _digest(F.col("e_host"), F.col("e_path")))
