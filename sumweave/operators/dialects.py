@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sumweave.functions.numeric import P_FLOOR
 
+# The canonical columns.
 CANONICAL = ["CHR", "POS", "Allele1", "Allele2", "AF_Allele2", "imputationInfo", "BETA", "SE", "p.value", "N"]
 
 
@@ -71,6 +72,7 @@ _SUMMED_NEEDS = ("N.Cases", "N.Controls")
 _ALLELES_01 = {"Allele1": "ALLELE0", "Allele2": "ALLELE1", "AF_Allele2": "A1FREQ", "imputationInfo": "INFO",
                "p.value": lambda df: _log10p("LOG10P")}
 
+# The vendors' column names and which of them stand for which canonical one.
 DIALECTS = {
     "SAIGE": Dialect(),
     "EXCEED": Dialect({"POS": "BP", "p.value": "P"}),

@@ -11,6 +11,10 @@ from sumweave.queries.base import query, rnd, sql_rnd
 from sumweave.session import scratch_path
 from sumweave.sources import config, runs
 
+# The fallback rules written out, not taken from the code they test.
+_RULES = """('WQ1.3', 'WQ1.3', 0), ('WQ1.3', 'NQ1.3', 1), ('WQ2.3', 'WQ2.3', 0), ('WQ2.3', 'NQ2.3', 1), ('N1.3', 'NE1.3', 0), ('N1.3', 'NQ1.3', 1),
+        ('N2.3', 'NE2.3', 0), ('N2.3', 'NQ2.3', 1), ('W1.3', 'WE1.3', 0), ('W1.3', 'WQ1.3', 1), ('W1.3', 'NE1.3', 2), ('W1.3', 'NQ1.3', 3),
+        ('W2.3', 'WE2.3', 0), ('W2.3', 'WQ2.3', 1), ('W2.3', 'NE2.3', 2), ('W2.3', 'NQ2.3', 3)"""
 VALID = "date ~ '^202[1-9][0-1][0-9][0-3][0-9]$'"
 
 
@@ -58,10 +62,7 @@ def pick_newest(spark, sf):
 
 @query("meta_documents", f"""SELECT analysis AS pheno, study AS name, uri AS file, cases AS n_cases, controls AS n_controls, 'beta' AS effect_type,
     row_number() OVER (PARTITION BY analysis ORDER BY study) - 1 AS study_ord FROM (SELECT * FROM (
-      SELECT r.target AS analysis, dataset || '_' || ancestry AS study, uri, cases, controls, r.rank, seq FROM fx_named JOIN (VALUES
-        ('WQ1.3', 'WQ1.3', 0), ('WQ1.3', 'NQ1.3', 1), ('WQ2.3', 'WQ2.3', 0), ('WQ2.3', 'NQ2.3', 1), ('N1.3', 'NE1.3', 0), ('N1.3', 'NQ1.3', 1),
-        ('N2.3', 'NE2.3', 0), ('N2.3', 'NQ2.3', 1), ('W1.3', 'WE1.3', 0), ('W1.3', 'WQ1.3', 1), ('W1.3', 'NE1.3', 2), ('W1.3', 'NQ1.3', 3),
-        ('W2.3', 'WE2.3', 0), ('W2.3', 'WQ2.3', 1), ('W2.3', 'NE2.3', 2), ('W2.3', 'NQ2.3', 3)) r(target, source, rank) ON pheno = r.source WHERE {VALID})
+      SELECT r.target AS analysis, dataset || '_' || ancestry AS study, uri, cases, controls, r.rank, seq FROM fx_named JOIN (VALUES {_RULES}) r(target, source, rank) ON pheno = r.source WHERE {VALID})
       QUALIFY row_number() OVER (PARTITION BY analysis, study ORDER BY rank, seq DESC) = 1)""", ("fx_named",))
 def meta_documents(spark, sf):
     rows = manifest.study_config(manifest.pheno_fallback(results(spark, sf))).filter(~F.col("pheno").rlike("^N[EQ]"))
@@ -112,7 +113,6 @@ def ancestry_map(spark, sf):
         "uri", manifest.reference_population(F.col("dataset"), F.col("ancestry")).alias("pop"))
 
 
-_RULES = ", ".join(f"('{t}', '{s}', {r})" for t, ss in manifest.FALLBACK.items() for r, s in enumerate(ss))
 _FALLBACK = f"""(SELECT analysis, study, pheno, uri, cases, controls FROM (
       SELECT r.target AS analysis, dataset || '_' || ancestry AS study, pheno, uri, cases, controls, r.rank, seq
       FROM fx_named JOIN (VALUES {_RULES}) r(target, source, rank) ON pheno = r.source WHERE {VALID})
