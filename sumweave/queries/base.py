@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sumweave.functions import numeric
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -49,24 +47,14 @@ def sql_mlog10(text: str) -> str:
     return sql_rnd(f"-log10({text})", 4)
 
 
-# Oracle numerics, spelled out in SQL because DuckDB has no erfc either.
-
-def _horner(coefs: list[float], x: str) -> str:
-    text = f"{coefs[0]:.17e}"
-    for c in coefs[1:]:
-        text = f"({text}*{x}+{c:.17e})"
-    return text
-
+# Oracle numerics, by other methods than the expressions they test, whose coefficients they do not read.
 
 def sql_erfc(x: str) -> str:
-    n = numeric
-    head = f"(floor({x}*16)/16)"
-    decay = f"(exp(-{head}*{head})*exp(-({x}-{head})*({x}+{head})))"
-    inv = f"(1e0/({x}*{x}))"
-    return (f"(CASE WHEN {x} <= 0.46875 THEN 1e0-{x}*{_horner(n.ERF_NUM, f'({x}*{x})')}/{_horner(n.ERF_DEN, f'({x}*{x})')} "
-            f"WHEN {x} <= 4 THEN {decay}*{_horner(n.MID_NUM, x)}/{_horner(n.MID_DEN, x)} "
-            f"WHEN {x} <= 27.5 THEN {decay}*(1e0/sqrt(pi())-{inv}*{_horner(n.FAR_NUM, inv)}/{_horner(n.FAR_DEN, inv)})/{x} "
-            f"WHEN {x} IS NOT NULL THEN 0e0 END)")
+    """The complementary error function for x >= 0, from the trapezoid rule for its integral, whose error is known."""
+    total = f"(1e0/(2e0*{x}*{x})+list_sum([exp(-0.25e0*k*k)/(0.25e0*k*k+{x}*{x}) for k in range(1, 14)]))"
+    rest = f"(CASE WHEN {x} < 2e0*pi() THEN 2e0/(exp(4e0*pi()*{x})-1e0) ELSE 0e0 END)"
+    return (f"(CASE WHEN {x} = 0 THEN 1e0 WHEN {x} < 1e-6 THEN 1e0-2e0*{x}/sqrt(pi()) "
+            f"WHEN {x} <= 27.5 THEN {x}/pi()*exp(-{x}*{x})*{total}-{rest} WHEN {x} IS NOT NULL THEN 0e0 END)")
 
 
 def sql_p(z: str) -> str:
@@ -74,13 +62,11 @@ def sql_p(z: str) -> str:
 
 
 def sql_z(p: str) -> str:
-    n = numeric
-    q, r = f"(0.5-{p}*0.5)", f"(0.180625-(0.5-{p}*0.5)*(0.5-{p}*0.5))"
-    t = f"sqrt(ln(2e0)-ln({p}))"
-    return (f"(CASE WHEN {p} < 0 OR {p} > 1 THEN NULL WHEN {p} = 0 THEN 'Infinity'::DOUBLE "
-            f"WHEN {q} <= 0.425 THEN {q}*{_horner(n.CENTRE_NUM, r)}/{_horner(n.CENTRE_DEN, r)} "
-            f"WHEN {t} <= 5 THEN {_horner(n.TAIL_NUM, f'({t}-1.6)')}/{_horner(n.TAIL_DEN, f'({t}-1.6)')} "
-            f"ELSE {_horner(n.FAR_TAIL_NUM, f'({t}-5)')}/{_horner(n.FAR_TAIL_DEN, f'({t}-5)')} END)")
+    """z of a two-sided p, by Newton's method on the logarithm of the tail."""
+    tail = sql_erfc("(z/sqrt(2e0))")
+    step = f"z+(ln({tail})-ln({p}))*{tail}*sqrt(pi()/2e0)*exp(z*z/2e0)"
+    return (f"(CASE WHEN {p} < 0 OR {p} > 1 THEN NULL WHEN {p} = 0 THEN 'Infinity'::DOUBLE WHEN {p} = 1 THEN 0e0 "
+            f"ELSE list_reduce([sqrt(-2e0*ln({p}))*0.9e0, 1, 2, 3, 4, 5, 6, 7, 8, 9], lambda z, i: {step}) END)")
 
 
 def sql_chi2(x: str, df: str) -> str:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sumweave.functions import values
-from sumweave.functions.numeric import chi2_quantile_1df
 from sumweave.operators import annotate, qcdata
 from sumweave.queries import fixtures as fx
 from sumweave.queries.base import query, rnd, sql_rnd, sql_z
@@ -34,8 +35,8 @@ def pval_long(spark, sf):
     return annotate.pval_long(p_table(spark, sf), ["all_p", "lmso_p"])
 
 
-_Q = ", ".join(f"({q}, {chi2_quantile_1df(q)!r}e0)" if "e" not in repr(chi2_quantile_1df(q)) else f"({q}, {chi2_quantile_1df(q)!r})"
-               for q in qcdata.QUANTILES)
+# The expected quantiles, from the normal distribution.
+_Q = ", ".join(f"({q}, {NormalDist().inv_cdf((1 + q) / 2) ** 2:.17e})" for q in (0.7, 0.5, 0.1, 0.01, 0.001))
 
 
 @query("lambda_gc", f"""
