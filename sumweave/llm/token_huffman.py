@@ -9,6 +9,7 @@ blocks.
 
 from __future__ import annotations
 
+import gc
 import math
 import os
 import string
@@ -101,7 +102,17 @@ class WordCache:
         for word, base in split:
             known[word] = known[base] + known[word[len(base):]]
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        # The many short-lived lists hold no cycles, and looking for some takes a tenth of the time.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         # Lower-cased where the tokenizer, which composes first, surely sees the same.
         split = [(t.lower() if t.isascii() else t).replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         words = set().union(*split)
@@ -109,12 +120,12 @@ class WordCache:
         if 2 * len(self.known) > REMEMBERED:
             self.again |= words - new
         self._learn(new)
-        for own in split:
-            yield b"".join(map(self.known.__getitem__, own))
+        out = [b"".join(map(self.known.__getitem__, own)) for own in split]
         if len(self.known) > REMEMBERED:  # keep what came in several chunks, unless that is most of it
             self.known = {w: self.known[w] for w in self.again} if len(self.again) < REMEMBERED // 2 else {}
             self.known[""] = b""
             self.again = set()
+        return out
 
 
 @lru_cache(maxsize=1)
