@@ -408,6 +408,18 @@ def filter_cols(spark, sf):
     return annotate.filter_cols(df)
 
 
+@query("filter_cols_wide", f"""
+    WITH {_WIDE_CELLS}, pivoted AS (SELECT {KEYS}, {', '.join([x for x in _OVERALL_SQL if 'lmso' not in x])} FROM cells GROUP BY {KEYS}),
+    sites AS (SELECT chr, pos, ref, unnest(string_split(alt_list, ',')) AS alt, id, seq FROM fx_rsid),
+    ids AS (SELECT chr, pos, ref, alt, arg_min(id, seq) AS id FROM sites GROUP BY ALL)
+    SELECT p.chr, p.pos, p.ref, p.alt, p.chr||':'||p.pos||':'||p.ref||':'||p.alt AS SNP, p.* EXCLUDE (chr, pos, ref, alt, occ), coalesce(id, 'NA') AS rsid
+    FROM pivoted p LEFT JOIN ids i ON p.chr = i.chr AND p.pos = i.pos AND p.ref = i.ref AND p.alt = i.alt""", ("aligned", "fx_study", "fx_rsid"))
+def filter_cols_wide(spark, sf):
+    # The wide table of six studies, of which the columns of single studies and of the families that leave one out go.
+    table = wide(spark, sf).withColumnsRenamed({"#CHR": "chr", "POS": "pos", "REF": "ref", "ALT": "alt"})
+    return comparable(annotate.filter_cols(annotate.add_rsids(table, fx.rsid(spark, sf))))
+
+
 @query("add_rsids", f"""
     WITH sites AS (SELECT chr, pos, ref, unnest(string_split(alt_list, ',')) AS alt, id, seq FROM fx_rsid),
     ids AS (SELECT chr, pos, ref, alt, arg_min(id, seq) AS id FROM sites GROUP BY ALL)
