@@ -9,7 +9,6 @@ blocks.
 
 from __future__ import annotations
 
-import gc
 import math
 import os
 import string
@@ -20,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,103 +29,163 @@ from sumweave.llm.exchange import saved
 
 #: Ids of a block, about (a longer document is a block), and ids between checkpoints.
 BLOCK, STRIDE = 1 << 18, 64
-#: Characters of text tokenized together, and words whose ids a worker remembers.
-CHUNK_CHARS, REMEMBERED = 2 << 20, 500_000
-#: Words of a line handed to the tokenizer.
-LINE_WORDS = 200
+#: Bytes of text cut together, bytes tokenized together, and words whose ids a worker remembers.
+PIECE_BYTES, CHUNK_BYTES, REMEMBERED = 1 << 20, 16 << 20, 1_000_000
+#: Words of a line handed to the tokenizer, words held as Python objects at once, and bytes of the longest word worth remembering.
+LINE_WORDS, BATCH_WORDS, LONGEST = 200, 50_000, 64
 
 #: Marks that end a word without being part of a contraction.
 _TAIL = string.punctuation.replace("'", "")
 
+_WHITE = b" \t\n\v\f\r"
+#: Bytes by what they say about cuts: 0 white space, 1 ASCII letters, 2 marks, 4 all others. Only 1 and 2 have the sum 3.
+_KINDS = bytes(0 if b in _WHITE else 1 if chr(b) in string.ascii_letters else 2 if chr(b) in _TAIL else 4 for b in range(256))
+
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str) -> tuple[Tokenizer, Tokenizer, np.ndarray]:
-    """The tokenizer, the same without the steps that leave words of composed letters as they are, and which ids end a word."""
+def _tokenizer(path: str) -> tuple[Tokenizer, Tokenizer, Tokenizer, np.ndarray]:
+    """The tokenizer, the same without the steps that leave words of composed letters as they are, the same without those that
+    leave words of a to z as they are, and which ids end a word."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker per core
-    tokenizer, simple = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    tokenizer, simple, bare = (Tokenizer.from_file(path) for _ in range(3))
     simple.normalizer = normalizers.Lowercase()
     simple.pre_tokenizer = pre_tokenizers.Sequence(
         [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    bare.normalizer, bare.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
     ends = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
     for token, i in tokenizer.get_vocab().items():
         ends[i] = token.endswith("</w>")
-    return tokenizer, simple, ends
+    return tokenizer, simple, bare, ends
 
 
-def _lasting(word: str) -> bool:
+def _lasting(words: pa.Array) -> pa.Array:
     """Letters that stay the same letters when composed, and letters when lower-cased."""
-    return unicodedata.is_normalized("NFC", word) and word.lower().isalpha()
+    return pa.array([w.isalpha() and unicodedata.is_normalized("NFC", w) and w.lower().isalpha() for w in words.to_pylist()], pa.bool_())
+
+
+def _groups(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Neighbours of about so much together."""
+    edges = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // most)) + 1
+    return zip([0, *edges.tolist()], [*edges.tolist(), len(sizes)]) if len(sizes) else iter(())
 
 
 class WordCache:
     """Ids of texts by their words: for a tokenizer that composes, lower-cases, drops white space and joins nothing over it or
     over the border of letters and other characters.
 
-    Each word not remembered is encoded once per chunk of text. A word of letters with closing marks
-    is encoded as the two; words of letters go to the tokenizer many at once and are told apart by
-    their last ids, which is only trusted if there are as many of these as words.
+    Texts are cut at white space and between ASCII letters and marks, as columns. Each distinct word of
+    a chunk that is not remembered is encoded once. Words of letters go to the tokenizer many at once
+    and are told apart by their last ids, which is only trusted if there are as many of these as words.
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.simple, self.ends = _tokenizer(path)
+        self.tokenizer, self.simple, self.bare, self.ends = _tokenizer(path)
         self.kind = np.dtype("<u2" if len(self.ends) <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {"": b""}
-        self.again: set[str] = set()
-
-    def _each(self, texts: list[str]) -> None:
-        for text, got in zip(texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            self.known[text] = np.asarray(got.ids, dtype=self.kind).tobytes()
-
-    def _learn(self, words: set[str]) -> None:
-        known = self.known
-        plain = {w for w in words if w.isalpha() and (w.isascii() or _lasting(w))}
-        split, whole = [], set()
-        for word in words - plain:
-            base = word.rstrip(_TAIL)
-            if base.isalpha() and (base.isascii() or _lasting(base)):
-                split.append((word, base))
-            else:
-                whole.add(word)
-        plain.update(base for _, base in split)
-        whole.update(word[len(base):] for word, base in split)
-        self._each([w for w in whole if w not in known])
-        left = [w for w in plain if w not in known]
-        lines = [left[low:low + LINE_WORDS] for low in range(0, len(left), LINE_WORDS)]
-        for part, got in zip(lines, self.simple.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
-            ids = np.asarray(got.ids, dtype=self.kind)
+        self.added = sorted({t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()})
+        # Remembered words, their ids, and in how many chunks each came.
+        self.words, self.ids, self.uses = pa.array([], pa.string()), pa.array([], pa.binary()), np.zeros(0, np.uint32)
+
+    def _cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Words of all texts, and how many there are before each text and in all."""
+        bounds = np.zeros(len(texts) + 1, dtype=np.int64)
+        np.cumsum(pc.binary_length(texts).to_numpy(), out=bounds[1:])
+        if not bounds[-1]:
+            return pa.array([], pa.string()), bounds
+        low, special = pc.ascii_lower(texts), np.zeros(len(texts), dtype=bool)
+        # Added tokens are found as they are written, before anything else is done to a text.
+        for token in self.added:
+            if token in _bytes(low):
+                special |= pc.match_substring(low, token).to_numpy(zero_copy_only=False)
+        # Lower-cased where the tokenizer, which composes first, surely sees the same.
+        data = _bytes(pc.if_else(pc.and_not(pc.string_is_ascii(texts), pa.array(special)), low, texts))
+        kinds = np.frombuffer(data.translate(_KINDS), np.uint8)
+        kept = kinds != 0
+        starts = kept.copy()
+        starts[1:] &= (kinds[:-1] == 0) | (kinds[:-1] + kinds[1:] == 3)
+        for t in np.flatnonzero(special).tolist():
+            own = kept[bounds[t]:bounds[t + 1]]
+            starts[bounds[t] + 1:bounds[t + 1]] = own[1:] & ~own[:-1]
+        heads = bounds[:-1][bounds[:-1] < bounds[1:]]
+        starts[heads] = kept[heads]
+        places, at = np.cumsum(kept, dtype=np.int32), np.flatnonzero(starts)
+        offsets = np.append(places[at] - 1, places[-1]).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data.translate(None, _WHITE)))
+        return words, np.searchsorted(at, bounds)
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(x.ids, dtype=self.kind).tobytes() for low in range(0, len(texts), LINE_WORDS)
+                for x in self.tokenizer.encode_batch_fast(texts[low:low + LINE_WORDS], add_special_tokens=False)]
+
+    def _letters(self, words: pa.Array, tokenizer: Tokenizer) -> pa.Array:
+        """Ids of words of letters."""
+        out = []
+        for low in range(0, len(words), LINE_WORDS):
+            part = words.slice(low, LINE_WORDS)
+            line = pc.binary_join(pa.ListArray.from_arrays([0, len(part)], part), " ")[0].as_py()
+            ids = np.asarray(tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, dtype=self.kind)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(part) or stops[-1] != len(ids):
-                self._each(part)
+                out.append(pa.array(self._each(part.to_pylist()), pa.binary()))
                 continue
-            data, bounds = ids.tobytes(), (stops * self.kind.itemsize).tolist()
-            known.update(zip(part, map(data.__getitem__, map(slice, [0, *bounds[:-1]], bounds))))
-        for word, base in split:
-            known[word] = known[base] + known[word[len(base):]]
+            bounds = np.append(0, stops).astype(np.int32) * np.int32(self.kind.itemsize)
+            out.append(pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(bounds), pa.py_buffer(ids)]))
+        return pa.concat_arrays([pa.array([], pa.binary()), *out])
+
+    def _learned(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words."""
+        def split(at: np.ndarray, which: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            which = which.to_numpy(zero_copy_only=False)
+            return at[which], at[~which]
+
+        plain, rest = split(np.arange(len(words)), pc.ascii_is_alpha(words))
+        composed, rest = split(rest, _lasting(words.take(rest)))
+        # Other letters with closing marks are encoded as the two; those of ASCII are cut from theirs.
+        marked, rest = split(rest, _lasting(pc.utf8_rtrim(words.take(rest), characters=_TAIL)))
+        bases = pc.utf8_rtrim(words.take(marked), characters=_TAIL).dictionary_encode()
+        tails = [word[len(base):] for word, base in zip(words.take(marked).to_pylist(), bases.to_pylist())]
+        known = dict(zip(different := sorted(set(tails)), self._each(different)))
+        based = self._letters(bases.dictionary, self.simple).take(bases.indices).to_pylist()
+        ids = pa.concat_arrays([
+            self._letters(pc.ascii_lower(words.take(plain)), self.bare), self._letters(words.take(composed), self.simple),
+            pa.array([base + known[tail] for base, tail in zip(based, tails)], pa.binary()),
+            pa.array(self._each(words.take(rest).to_pylist()), pa.binary())])
+        return ids.take(np.argsort(np.concatenate([plain, composed, marked, rest])))
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where the distinct words are among the remembered ones, now that all are."""
+        if max(len(self.words), self.words.nbytes // 32) > REMEMBERED:  # keep what came in most chunks, the later of equals
+            short = np.flatnonzero(pc.binary_length(self.words).to_numpy() <= LONGEST)
+            best = np.sort(short[np.argsort(self.uses[short], kind="stable")[-(REMEMBERED // 2 + 1):]])
+            self.words, self.ids, self.uses = self.words.take(best), self.ids.take(best), self.uses[best] >> 1
+        found = pc.index_in(words, value_set=self.words)
+        new = words.filter(found.is_null())
+        places = found.fill_null(-1).to_numpy().copy()
+        if len(new):
+            places[places < 0] = np.arange(len(self.words), len(self.words) + len(new))
+            ids = [self._learned(new.slice(low, BATCH_WORDS)) for low in range(0, len(new), BATCH_WORDS)]
+            self.words, self.ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, *ids])
+            self.uses = np.append(self.uses, np.zeros(len(new), np.uint32))
+        self.uses[places] += 1
+        return places
+
+    def encode_column(self, texts: pa.Array, end: bytes = b"") -> Iterator[pa.Array]:
+        """The packed ids of each text, with end behind them, in some arrays."""
+        if not len(texts):
+            return
+        cut = [self._cut(texts.slice(low, high - low)) for low, high in _groups(pc.binary_length(texts).to_numpy().astype(np.int64), PIECE_BYTES)]
+        coded = pa.chunked_array([words for words, _ in cut], pa.string()).dictionary_encode()
+        places = self._places(coded.chunk(0).dictionary if coded.num_chunks else pa.array([], pa.string()))
+        ids = pa.concat_arrays([self.ids.take(places), pa.array([end], pa.binary())])
+        codes = iter(coded.chunks)  # none for pieces without words
+        for words, before in cut:
+            own = next(codes).indices.to_numpy() if len(words) else np.zeros(0, np.int32)
+            got = ids.take(np.insert(own, before[1:], len(places)))
+            _, offsets, data = got.buffers()
+            bounds = np.frombuffer(offsets, np.int32)[before + np.arange(len(before))]
+            yield pa.BinaryArray.from_buffers(pa.binary(), len(before) - 1, [None, pa.py_buffer(bounds), data])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        # The many short-lived lists hold no cycles, and looking for some takes a tenth of the time.
-        collecting = gc.isenabled()
-        gc.disable()
-        try:
-            return self._encode(texts)
-        finally:
-            if collecting:
-                gc.enable()
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        # Lower-cased where the tokenizer, which composes first, surely sees the same.
-        split = [(t.lower() if t.isascii() else t).replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        words = set().union(*split)
-        new = words - self.known.keys()
-        if 2 * len(self.known) > REMEMBERED:
-            self.again |= words - new
-        self._learn(new)
-        out = [b"".join(map(self.known.__getitem__, own)) for own in split]
-        if len(self.known) > REMEMBERED:  # keep what came in several chunks, unless that is most of it
-            self.known = {w: self.known[w] for w in self.again} if len(self.again) < REMEMBERED // 2 else {}
-            self.known[""] = b""
-            self.again = set()
-        return out
+        return [ids for part in self.encode_column(pa.array(texts, pa.string())) for ids in part.to_pylist()]
 
 
 @lru_cache(maxsize=1)
@@ -134,29 +194,33 @@ def word_cache(path: str) -> WordCache:
     return WordCache(path)
 
 
+def _bytes(texts: pa.Array) -> bytes:
+    """The bytes of all texts in a row."""
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int32)
+    return data[int(bounds[texts.offset]):int(bounds[texts.offset + len(texts)])].to_pybytes()
+
+
+def readable(texts: pa.Array) -> pa.Array:
+    """Texts of bytes: none is empty, and what is not UTF-8 is replaced."""
+    try:
+        return texts.cast(pa.string()).fill_null("")
+    except pa.ArrowInvalid:
+        return pa.array([(t or b"").decode("utf-8", "replace") for t in texts.to_pylist()], pa.string())
+
+
 def encoded(docs: DataFrame, path: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids): ids packed as little-endian integers of two bytes (four if the vocabulary needs them),
     with end_id behind each text. A null or empty text has the end id only. Other columns are not read."""
     def run(batches):
         cache = word_cache(path)
         end = b"" if end_id is None else np.array([end_id], dtype=cache.kind).tobytes()
-
-        def done(ids, texts, first):
-            out = [x + end for x in cache.encode(texts)]
-            return pa.RecordBatch.from_arrays(
-                [ids.slice(first, len(out)), pa.array([len(x) // cache.kind.itemsize for x in out], pa.int64()), pa.array(out, pa.binary())],
-                ["doc_id", "n_tokens", "ids"])
-
         for batch in batches:
-            first, texts, size = 0, [], 0
-            for row, text in enumerate(batch.column(1)):
-                texts.append((text.as_py() or b"").decode("utf-8", "replace"))
-                size += len(texts[-1])
-                if size >= CHUNK_CHARS:
-                    yield done(batch.column(0), texts, first)
-                    first, texts, size = row + 1, [], 0
-            if texts:
-                yield done(batch.column(0), texts, first)
+            for low, high in _groups(pc.binary_length(batch.column(1)).fill_null(0).to_numpy().astype(np.int64), CHUNK_BYTES):
+                for out in cache.encode_column(readable(batch.column(1).slice(low, high - low)), end):
+                    n = pc.divide(pc.binary_length(out), cache.kind.itemsize).cast(pa.int64())
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, len(out)), n, out], ["doc_id", "n_tokens", "ids"])
+                    low += len(out)
 
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return source.mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_tokens long, ids binary")

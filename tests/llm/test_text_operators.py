@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -295,6 +296,60 @@ def test_word_cache(texts):
     assert [np.frombuffer(x, cache.kind).tolist() for x in cache.encode(texts)] == expected
 
 
+library = cache(lambda: Tokenizer.from_file(WORDS))
+
+
+def library_ids(texts):
+    return [e.ids for e in library().encode_batch(texts, add_special_tokens=False)]
+
+
+def cached_ids(words_, texts):
+    return [np.frombuffer(x, words_.kind).tolist() for x in words_.encode(texts)]
+
+
+def test_word_cache_reads_added_tokens_as_written():
+    texts = ["Ab <|ENDOFTEXT|> cd.", "x<|endoftext|>Y.", "<|StartOfText|>", "<|startoftext|>é <|EndOfText|>", "plain (text)-here", ""]
+    assert cached_ids(token_huffman.WordCache(WORDS), texts) == library_ids(texts)
+
+
+def test_word_cache_encodes_a_word_once_whatever_marks_are_at_it(monkeypatch):
+    known = token_huffman.WordCache(WORDS)
+    letters, given = known._letters, []
+    monkeypatch.setattr(known, "_letters", lambda words, tokenizer: given.extend(words.to_pylist()) or letters(words, tokenizer))
+    texts = ["Word word. (word) word-word\n", "word, été. été, \"word\" don't", "word; WORD"]
+    assert [cached_ids(known, [t])[0] for t in texts] == library_ids(texts)
+    assert given.count("word") == 1 and given.count("été") == 1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*PIECES, "B", "<", "=", "-", "(", "\u0338", "e\u0301", "\r", "\v", "\f", "<|endoftext|>", "<|ENDOFTEXT|>", "é."]), max_size=25), max_size=8),
+       st.integers(1, 40), st.integers(1, 9))
+def test_word_cache_in_pieces_that_forgets(texts, piece, remembered):
+    texts = ["".join(t) for t in texts]
+    known, kept = token_huffman.WordCache(WORDS), (token_huffman.PIECE_BYTES, token_huffman.REMEMBERED)
+    token_huffman.PIECE_BYTES, token_huffman.REMEMBERED = piece, remembered
+    try:
+        for some in (texts, texts[::-1], [" "] * 3 + texts):
+            assert cached_ids(known, some) == library_ids(some)
+    finally:
+        token_huffman.PIECE_BYTES, token_huffman.REMEMBERED = kept
+
+
+def test_word_cache_remembers_no_long_words(monkeypatch):
+    monkeypatch.setattr(token_huffman, "REMEMBERED", 1000)
+    known = token_huffman.WordCache(WORDS)
+    for i in range(12):
+        texts = [f"{'7' * 4000}{i}{k} plain" for k in range(4)]
+        assert cached_ids(known, texts) == library_ids(texts)
+    assert known.words.nbytes < 60_000
+
+
+def test_token_ids_of_bytes_that_are_not_text(spark):
+    df = spark.sql("select * from values (1L, cast(X'41FF2E42' as string)), (2L, null), (3L, '') as t(doc_id, text)")
+    got = {r["doc_id"]: np.frombuffer(r["ids"], "<u2").tolist() for r in token_huffman.encoded(df, WORDS, 1).collect()}
+    assert got == {1: [*library_ids(["A\ufffd.B"])[0], 1], 2: [1], 3: [1]}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 10**6), min_size=1, max_size=60), st.integers(0, 200), st.integers(1, 70))
 def test_huffman_round_trip(counts, n, stride):
