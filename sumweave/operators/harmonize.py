@@ -2,7 +2,8 @@
 
 Shuffles: the panel is grouped per (population, position, key) into its few candidate alleles;
 study rows join that one-to-one, so they never multiply, and a hot position is a skewed join
-partition that adaptive execution splits. Duplicates are then resolved by an aggregation, whose
+partition that adaptive execution splits. The join is always a merge: Spark takes the grouped panel for
+as small as the columns it is made of and would collect it in the driver. Duplicates are then resolved by an aggregation, whose
 partial step works before the shuffle.
 """
 
@@ -104,7 +105,7 @@ def match_reference(df: DataFrame, ref: DataFrame | None, *, pre_aligned: bool =
     candidates = _candidates(ref, pre_aligned, order) if stored is None else stored
     keyed = df if "_key" in df.columns else df.withColumn("_key", reference_key(F.col("ref"), F.col("alt"), pre_aligned))
     df = df.drop("_key")
-    joined = keyed.join(candidates, MEET, "left")
+    joined = keyed.join(candidates.hint("merge"), MEET, "left")
     current, best = _best(pre_aligned)
     joined = joined.withColumn("_current", current).withColumn("_best", F.when(F.col("_cands").isNotNull(), best))
     found = F.col("_best").isNotNull()
