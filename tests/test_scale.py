@@ -8,7 +8,7 @@ from sumweave.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
-MERGED = ["dedup_best"]
+MERGED = ["dedup_best", "harmonize"]
 
 
 @needs_tables
