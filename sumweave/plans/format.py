@@ -34,8 +34,11 @@ def format_studies(spark: SparkSession, entries: Sequence[Entry]) -> DataFrame:
     tables = []
     for entry in entries:
         rows = normalize(scan_study(spark, entry.path, tab_only=entry.tab_only, count_fields=True), entry.dialect)
-        # Some dialects work values out: text again, so that a union does not turn the others' texts into numbers.
-        tables.append(rows.withColumns({**{c: col(c).cast("string") for c in CANONICAL}, "study_ord": F.lit(entry.study_ord), "pop": F.lit(entry.pop)}))
+        # Some dialects work values out: text again, so that a union does not turn the others' texts into numbers. As one
+        # struct that is generated, so that no filter is pushed below and works them out once per condition.
+        texts = F.struct(*[col(c).cast("string").alias(c) for c in CANONICAL])
+        rest = [F.col(f"`{c}`") for c in rows.columns if c not in CANONICAL]
+        tables.append(rows.select(F.inline(F.array(texts)), *rest, F.lit(entry.study_ord).alias("study_ord"), F.lit(entry.pop).alias("pop")))
     whole = tables[0]
     for table in tables[1:]:
         whole = whole.unionByName(table)

@@ -24,7 +24,7 @@ _DRAW = "((l_orderkey * 7919 + l_linenumber) % 9973)"
 
 
 def _raw(spark, sf, study: int, names: dict[str, str]) -> str:
-    """A study's file as its vendor writes it, rows in file order."""
+    """A study as its vendor writes it: gzip parts with a header each, whose names and rows are in file order."""
     draw = (F.col("l_orderkey") * 7919 + F.col("l_linenumber")) % 9973
     p = F.when(F.col("l_orderkey") % 97 == 0, "NA").otherwise(((draw + 1) / 9975).cast("string"))
     source = {"chr": "chr_raw", "pos": "pos", "a1": "ref", "a2": "alt", "af": "af_alt", "info": "info", "beta": "beta", "se": "se", "n": "n"}
@@ -35,7 +35,7 @@ def _raw(spark, sf, study: int, names: dict[str, str]) -> str:
     rows = fx.sumstats(spark, sf).filter(F.col("study_ord") == study)
     line = F.concat_ws("\t", *columns.values())
     path = scratch_path(spark, f"raw{study}")
-    lines = rows.select("file_order", line.alias("value")).repartition(1).sortWithinPartitions("file_order").select("value")
+    lines = rows.select("file_order", line.alias("value")).repartitionByRange("file_order").sortWithinPartitions("file_order").select("value")
     sinks.with_header(lines, "\t".join(columns)).write.text(path, compression="gzip")
     return path
 

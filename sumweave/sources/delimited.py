@@ -19,11 +19,14 @@ SITES_HEADER = ["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO"]
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(value, file_order) of every line: plain text, gzip by extension, or block-gzip where the path ends in ``.bgz``.
 
-    ``file_order`` is (block start, row number), which increases along each file however its blocks are scheduled.
+    ``file_order`` is (file name, block start, row number): it increases along each file however its blocks are
+    scheduled, and over the part files of a folder by their names.
     """
     if path.endswith(".bgz"):
-        return blockgzip.scan_lines(spark, path).select("value", F.struct("block", "row").alias("file_order"))
-    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+        name = F.substring_index("file", "/", -1)
+        return blockgzip.scan_lines(spark, path).select("value", F.struct(name.alias("file"), "block", "row").alias("file_order"))
+    place = F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row"))
     return spark.read.text(path).select("value", place.alias("file_order"))
 
 
@@ -63,7 +66,10 @@ def scan_study(spark: SparkSession, path: str, columns: dict[str, str] | Sequenc
         raise ValueError(f"{path} lacks column(s) {', '.join(missing)}")
     field = lambda name: F.nullif(F.get("_f", F.lit(header.index(name))), F.lit(""))
     extra = [F.size("_f").alias("n_fields")] if count_fields else []
-    return body.select(*[field(c).alias(new) for c, new in pairs], *extra, "file_order")
+    # Generated, not projected: filters on fields would be pushed below a projection, where each of their conditions
+    # cuts the line again.
+    return body.select("file_order", F.inline(F.array(F.struct(*[field(c).alias(new) for c, new in pairs], *extra)))).select(
+        *[F.col(f"`{new}`") for _, new in pairs], *[c for c in ["n_fields"] if count_fields], "file_order")
 
 
 def scan_sites(spark: SparkSession, path: str) -> DataFrame:
