@@ -2,8 +2,8 @@
 
 A position lies in an aligned block: a range join. Both sides are cut into bins of fixed width, a
 block being listed in every bin it touches, so the join is an equi-join on (chr, bin) with the
-range as a residual. Spark broadcasts the blocks when their size allows and otherwise sorts both
-sides, where adaptive execution splits a hot bin.
+range as a residual. Both sides are sorted, where adaptive execution splits a hot bin: the blocks are
+not broadcast, as Spark's estimate, made before they are computed, may be far below their size.
 
 The blocks of a chain must cover a source base at most once, so that a row finds one block at most
 and needs no regrouping afterwards. Blocks that overlap share a bin, where the join's side of
@@ -50,7 +50,7 @@ def liftover(df: DataFrame, chain: DataFrame, ref_bases: DataFrame | None = None
     ).otherwise(F.col("src_start"))).drop("_end")
     start = F.col("pos") - 1
     joined = df.withColumn("_pbin", F.expr(f"(pos - 1) div {BIN_WIDTH}")).join(
-        blocks, (F.col("chr") == F.col("_chr")) & (F.col("_pbin") == F.col("_bin"))
+        blocks.hint("merge"), (F.col("chr") == F.col("_chr")) & (F.col("_pbin") == F.col("_bin"))
         & (start >= F.col("src_start")) & (start < F.col("src_end")), "left")
 
     span = F.greatest(F.length("ref"), F.length("alt"))
@@ -80,7 +80,7 @@ def liftover(df: DataFrame, chain: DataFrame, ref_bases: DataFrame | None = None
     if ref_bases is None:
         return _finish(lifted, df.columns, F.lit(False), F.col("lift_status"))
     bases = ref_bases.select(F.col("chr").alias("_bchr"), F.col("pos").alias("_bpos"), F.col("base").alias("_base"))
-    checked = lifted.join(bases, (F.col("new_chr") == F.col("_bchr")) & (F.col("new_pos") == F.col("_bpos")), "left")
+    checked = lifted.join(bases.hint("merge"), (F.col("new_chr") == F.col("_bchr")) & (F.col("new_pos") == F.col("_bpos")), "left")
     ok = (F.col("lift_status") == "OK") & ~checked_here
     agrees = F.substring("new_ref", 1, 1) == F.col("_base")
     swap = (ok & F.lit(recover_swapped) & (F.length("new_ref") == 1) & (F.length("new_alt") == 1)

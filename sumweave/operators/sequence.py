@@ -95,8 +95,9 @@ def reverse_strand(df: DataFrame, windows: DataFrame, needed: Column, width: int
     keyed = df.withColumn("_needed", needed).withColumns({
         "_wchr": F.when(F.col("_needed"), chr_).otherwise(F.lit(-1)),
         "_window": F.when(F.col("_needed"), window).otherwise(-1 - F.pmod(F.hash("chr", "pos", "ref", "alt"), F.lit(1 << 20)))})
-    joined = keyed.join(windows.select(F.col("chr").alias("_wchr"), F.col("window").cast("bigint").alias("_window"), F.col("seq").alias("_seq")),
-                        ["_wchr", "_window"], "left")
+    # A window has thousands of bases, which Spark's estimate of a computed column doesn't know: never broadcast.
+    texts = windows.select(F.col("chr").alias("_wchr"), F.col("window").cast("bigint").alias("_window"), F.col("seq").alias("_seq"))
+    joined = keyed.join(texts.hint("merge"), ["_wchr", "_window"], "left")
     # Backwards from the first base: position new_pos - i is character i + 1.
     back = F.reverse(F.substring("_seq", F.lit(1), (F.col("new_pos") - window * width + margin + 1).cast("int")))
     step = joined.withColumn("_back", F.when(F.col("_needed"), back)).withColumn(

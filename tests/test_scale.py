@@ -14,7 +14,7 @@ from sumweave.sources import delimited
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
-MERGED = ["dedup_best", "harmonize"]
+MERGED = ["dedup_best", "harmonize", "lift_indels"]
 
 
 @needs_tables
