@@ -10,7 +10,7 @@ from sumweave.operators.annotate import add_rsids
 from sumweave.plans.format import Entry, format_studies
 from sumweave.plans.munge import clean
 from sumweave.queries import QUERIES
-from sumweave.sources import delimited
+from sumweave.sources import delimited, staged
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -62,3 +62,9 @@ def test_ids_of_sites_are_merged(spark):
     out = add_rsids(df, sites)
     assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
     assert out.first()["rsid"] == "rs1"
+
+
+def test_staged_rows_follow_the_names_of_part_files(spark, tmp_path):
+    path, total = _parts(tmp_path / "study", [3, 50, 4000])
+    rows = staged.scan_files(spark, [staged.Source(0, path, {"pos": "POS"})]).orderBy("file_id", "file_order").collect()
+    assert [int(r["pos"]) for r in rows] == list(range(total))
