@@ -14,7 +14,7 @@ from sumweave.sources import delimited, staged
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
-MERGED = ["dedup_best", "harmonize", "lift_indels", "af_compare", "max_af_diff", "require_ref", "af_density"]
+MERGED = ["dedup_best", "harmonize", "lift_indels", "af_compare", "max_af_diff", "require_ref", "af_density", "dedup_discard"]
 
 
 @needs_tables
